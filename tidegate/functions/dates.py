@@ -14,15 +14,13 @@ from pyspark.sql import functions as F
 from tidegate.functions._column import ColumnOrName, as_col
 
 # One separator of any kind, or none, may stand between the parts. Time parts
-# may be left out from the right.
+# may be left out from the right. There is no year 0.
 _SEP = r"[^0-9A-Za-z]?"
-_DATE = rf"([0-9]{{1,4}}){_SEP}([0-9]{{1,2}}){_SEP}([0-9]{{1,2}})"
+_DATE = rf"(?!0000|0{{1,3}}[^0-9])([0-9]{{1,4}}){_SEP}([0-9]{{1,2}}){_SEP}([0-9]{{1,2}})"
 _TIME = rf"(?:{_SEP}([0-9]{{1,2}})(?:{_SEP}([0-9]{{1,2}})(?:{_SEP}([0-9]{{1,2}}))?)?)?"
-
-
-def _first_day() -> Column:
-    """There is no year 0."""
-    return F.lit("0001-01-01").cast("date")
+# The usual spelling needs no rewriting, which is by far the dearest part.
+_EXACT_DATE = r"\A(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+_EXACT_TS = r"\A(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
 
 
 def _canonical(c: Column, regex: str, replacement: str) -> Column:
@@ -32,16 +30,17 @@ def _canonical(c: Column, regex: str, replacement: str) -> Column:
 
 def to_date_lenient(c: ColumnOrName) -> Column:
     """``YYYY-MM-DD`` with any punctuation; not a date becomes NULL."""
-    text = _canonical(as_col(c), rf"\A{_DATE}\z", "000$1-$2-$3")
-    day = text.try_cast("date")
-    return F.when(day >= _first_day(), day)
+    c = as_col(c)
+    lenient = _canonical(c, rf"\A{_DATE}\z", "000$1-$2-$3").try_cast("date")
+    return F.when(c.rlike(_EXACT_DATE), c.try_cast("date")).otherwise(lenient)
 
 
 def to_ts_lenient(c: ColumnOrName) -> Column:
     """``YYYY-MM-DD HH24:MI:SS`` with any punctuation; not a time becomes NULL."""
-    text = _canonical(as_col(c), rf"\A{_DATE}{_TIME}\z", "000$1-$2-$3 $4:$5:$6")
-    moment = F.rtrim(text, F.lit(": ")).try_cast("timestamp_ntz")
-    return F.when(moment.cast("date") >= _first_day(), moment)
+    c = as_col(c)
+    text = _canonical(c, rf"\A{_DATE}{_TIME}\z", "000$1-$2-$3 $4:$5:$6")
+    lenient = F.rtrim(text, F.lit(": ")).try_cast("timestamp_ntz")
+    return F.when(c.rlike(_EXACT_TS), c.try_cast("timestamp_ntz")).otherwise(lenient)
 
 
 def ts_literal(moment: dt.datetime) -> Column:

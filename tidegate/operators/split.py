@@ -39,13 +39,25 @@ def judge_transfers(raw: DataFrame, ref_currency: DataFrame, ref_country: DataFr
     rows = flag_supported(
         rows, ref_country, "country_code", S.COUNTRY_FORMAT, "is_supported_country"
     )
-    return rows.withColumn("reject_reason", R.reject_reason(R.transfer_rules()))
+    return _with_reason(rows, R.transfer_rules())
 
 
 def judge_clients(raw: DataFrame) -> DataFrame:
     """Normalise, parse and judge clients; adds ``reject_reason`` (NULL when valid)."""
     rows = R.parse(R.normalise(raw, S.CLIENTS), S.CLIENTS)
-    return rows.withColumn("reject_reason", R.reject_reason(R.client_rules()))
+    return _with_reason(rows, R.client_rules())
+
+
+def _with_reason(rows: DataFrame, rules: list[R.Rule]) -> DataFrame:
+    """Add ``reject_reason`` through a one-element generator.
+
+    As a plain column, a later filter on it would be pushed below the projections
+    with all rules, parsers and normalisers copied into it, several times over: code
+    too large to compile, evaluated once more for the column itself. Filters do not
+    pass a generator on its own output.
+    """
+    reason = F.struct(R.reject_reason(rules).alias("reject_reason"))
+    return rows.select("*", F.inline(F.array(reason)))
 
 
 def duplicate_keys(judged: DataFrame, dataset: Dataset) -> DataFrame:
@@ -70,19 +82,23 @@ def split_judged(
     if duplicates is None:
         duplicates = duplicate_keys(judged, dataset)
     on = ["business_date", key]
-    valid = judged.filter(F.col("reject_reason").isNull())
-    repeated = valid.join(duplicates.select(*on), on, "left_semi").withColumn(
-        "reject_reason", F.lit(f"duplicate {dataset.key} in snapshot")
+    accepted = judged.filter(F.col("reject_reason").isNull()).join(
+        duplicates.select(*on), on, "left_anti"
+    )
+    # An invalid row that shares a repeated key keeps its own reason.
+    repeated = F.when(F.col("is_repeated") == 1, f"duplicate {dataset.key} in snapshot")
+    refused = (
+        judged.join(duplicates.select(*on, F.lit(1).alias("is_repeated")), on, "left")
+        .withColumn("reject_reason", F.coalesce("reject_reason", repeated))
+        .filter(F.col("reject_reason").isNotNull())
     )
-    invalid = judged.filter(F.col("reject_reason").isNotNull())
-    accepted = valid.join(duplicates.select(*on), on, "left_anti")
     return Split(
         stage=accepted.select(
             "business_date",
             "source_row_num",
             *[typed(dataset.field(n)).alias(n) for n in dataset.stage_order],
         ),
-        reject=invalid.unionByName(repeated).select(
+        reject=refused.select(
             "business_date",
             "source_file_name",
             "source_row_num",

@@ -16,10 +16,10 @@ from tidegate.schemas import Dataset
 CSV_OPTIONS = {"sep": ";", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 _DATED_NAME = r"\A(.+)_([0-9]{8})\.(csv|ok)\z"
 
-#: Line counts are kept per input split. Up to this many splits (about 250 TB in
-#: 128 MB splits) they are broadcast, at some 100 bytes each; beyond it the lines
+#: Line counts are kept per input split. Up to this many splits (about 128 TB in
+#: 128 MB splits) they are broadcast, at some 200 bytes each; beyond it the lines
 #: are shuffled to them, one evenly sized group per split.
-BROADCAST_SPLITS = 2_000_000
+BROADCAST_SPLITS = 1_000_000
 
 
 def snapshot_name(dataset: Dataset, date: dt.date, kind: str = "csv") -> str:
@@ -71,6 +71,7 @@ def read_lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
         .text(paths if isinstance(paths, str) else list(paths))
         .select(
             "value",
+            F.col("_metadata.file_path").alias("source_path"),
             F.col("_metadata.file_name").alias("source_file_name"),
             F.col("_metadata.file_block_start").alias("split_start"),
             F.monotonically_increasing_id().alias("line_id"),
@@ -85,15 +86,15 @@ def split_offsets(lines: DataFrame) -> DataFrame:
     long the file is.
     """
     earlier = (
-        Window.partitionBy("source_file_name")
+        Window.partitionBy("source_path")
         .orderBy("split_start")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        lines.groupBy("source_file_name", "split_start")
+        lines.groupBy("source_path", "split_start")
         .agg(F.min("line_id").alias("first_id"), F.count("*").alias("split_lines"))
         .select(
-            "source_file_name",
+            "source_path",
             "split_start",
             "first_id",
             F.coalesce(F.sum("split_lines").over(earlier), F.lit(0)).alias("lines_before"),
@@ -107,18 +108,17 @@ def with_source_row_num(
     """Add ``source_row_num``, the physical line number: header 1, first data row 2.
 
     ``lines`` comes from ``read_lines``, possibly narrowed or written out and read
-    back; file names must be unique among the lines. Without ``offsets`` the lines
-    are scanned once more to count them.
+    back. Without ``offsets`` the lines are scanned once more to count them.
     """
     offsets = split_offsets(lines) if offsets is None else offsets
     if broadcast_offsets:
         offsets = F.broadcast(offsets)
     return (
-        lines.join(offsets, ["source_file_name", "split_start"])
+        lines.join(offsets, ["source_path", "split_start"])
         .withColumn(
             "source_row_num", F.col("lines_before") + F.col("line_id") - F.col("first_id") + 1
         )
-        .drop("split_start", "line_id", "first_id", "lines_before")
+        .drop("source_path", "split_start", "line_id", "first_id", "lines_before")
     )
 
 
