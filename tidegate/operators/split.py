@@ -81,14 +81,21 @@ def split_judged(
     key = dataset.field(dataset.key).parsed
     if duplicates is None:
         duplicates = duplicate_keys(judged, dataset)
-    on = ["business_date", key]
-    accepted = judged.filter(F.col("reject_reason").isNull()).join(
-        duplicates.select(*on), on, "left_anti"
+    # Null-safe, because a plain equality would also filter the keys for NULL below the
+    # judging, where their parsers would run a second time.
+    on = F.col("business_date").eqNullSafe(F.col("repeated_date")) & F.col(key).eqNullSafe(
+        F.col("repeated_key")
     )
+    duplicates = duplicates.select(
+        F.col("business_date").alias("repeated_date"),
+        F.col(key).alias("repeated_key"),
+        F.lit(1).alias("is_repeated"),
+    )
+    accepted = judged.filter(F.col("reject_reason").isNull()).join(duplicates, on, "left_anti")
     # An invalid row that shares a repeated key keeps its own reason.
     repeated = F.when(F.col("is_repeated") == 1, f"duplicate {dataset.key} in snapshot")
     refused = (
-        judged.join(duplicates.select(*on, F.lit(1).alias("is_repeated")), on, "left")
+        judged.join(duplicates, on, "left")
         .withColumn("reject_reason", F.coalesce("reject_reason", repeated))
         .filter(F.col("reject_reason").isNotNull())
     )

@@ -211,7 +211,13 @@ RATES_WITH_GAPS = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table, spread over the cores if it is too small a file to split.
+
+    Large inputs come in more splits than there are cores and are left as they are.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def inbound_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
