@@ -148,7 +148,7 @@ def _mart_of(spark, warehouse, dates):
                 )
             )
     if good:
-        overwrite_date(on_dates(mart, good), warehouse.mart)
+        overwrite_date(on_dates(mart, good), warehouse.mart, rebalance=len(good) > 1)
     return outcomes
 
 
@@ -229,16 +229,17 @@ def _spool_of(spark, warehouse, dates, run_ts):
     if not good:
         return outcomes
     empty = [d for d, n in good if not n]
-    overwrite_date(on_dates(spool, [d for d, _ in good]), warehouse.spool, empty)
+    overwrite_date(
+        on_dates(spool, [d for d, _ in good]), warehouse.spool, empty, rebalance=len(good) > 1
+    )
     stored = read_table(spark, warehouse.spool, spool.schema)
+    written = outbound.publish(stored, warehouse.outbound, dict(good))
     for date, count in good:
-        try:
-            outbound.publish(on_dates(stored, [date]), warehouse.outbound, date, count)
-        except Exception as error:
-            code = SPOOL_EXPORT if isinstance(error, outbound.ExportMismatch) else None
+        if written[date] != count:
             outcomes.append(
                 failed(
-                    process, date, "UNEXPECTED_ERROR", code, str(error),
+                    process, date, "UNEXPECTED_ERROR", SPOOL_EXPORT,
+                    "Exported row count does not match aml_report_spool row count.",
                     expected_row_count=count, core_row_count=count,
                 )
             )

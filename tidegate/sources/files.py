@@ -25,6 +25,12 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(target, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    fs, origin = _fs(spark, source)
+    if not fs.rename(origin, _fs(spark, target)[1]):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def write_line(spark: SparkSession, path: str, line: str) -> None:
     """Create a one-line file."""
     fs, target = _fs(spark, path)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +24,6 @@ _FORMATS = {
 }
 
 
-class ExportMismatch(RuntimeError):
-    """Written and stored row counts of a report differ."""
-
-
 def report_file(folder: str, date: dt.date, kind: str) -> str:
     return f"{folder.rstrip('/')}/aml_report_spool_{date:%Y%m%d}.{kind}"
 
@@ -37,30 +35,40 @@ def _quoted(name: str) -> Column:
 
 
 def report_lines(spool: DataFrame) -> DataFrame:
-    """(report_id, line): every value quoted, NULL as ``""``, ``;`` between values."""
+    """(business_date, report_id, line): every value quoted, NULL as ``""``, ``;`` between values."""
     return spool.select(
-        "report_id", F.concat_ws(";", *[_quoted(c) for c in S.REPORT_COLUMNS]).alias("line")
+        "business_date", "report_id", F.concat_ws(";", *[_quoted(c) for c in S.REPORT_COLUMNS]).alias("line")
     )
 
 
-def write_report_csv(spool: DataFrame, folder: str, date: dt.date) -> str:
-    """Write one date's report, ordered by report id, under an unquoted header line.
+def write_reports(spool: DataFrame, folder: str, dates: Sequence[dt.date]) -> None:
+    """Write the reports of the given dates under ``folder``, one sub-folder per file name.
 
-    The result is a folder of part files; read or concatenated in name order they
-    are the report. The sort is range-partitioned, so no task holds the report.
+    A report is an unquoted header line and one line per row, ordered by report id,
+    in part files that are the report when concatenated in name order. One
+    range-partitioned sort serves all dates, so neither a long report nor many short
+    ones end up in one task.
     """
-    spark = spool.sparkSession
-    header = spark.createDataFrame(
-        [(0, "", ";".join(S.REPORT_COLUMNS))], "part int, report_id string, line string"
+    header = spool.sparkSession.createDataFrame(
+        [(d, 0, "", ";".join(S.REPORT_COLUMNS)) for d in dates],
+        "business_date date, part int, report_id string, line string",
     )
-    rows = report_lines(spool.filter(F.col("business_date") == F.lit(date))).select(
-        F.lit(1).alias("part"), "report_id", "line"
+    rows = report_lines(spool.filter(F.col("business_date").isin(list(dates)))).select(
+        "business_date", F.lit(1).alias("part"), "report_id", "line"
+    )
+    name = F.concat(
+        F.lit("aml_report_spool_"), F.date_format("business_date", "yyyyMMdd"), F.lit(".csv")
+    )
+    # Sorting by the file name first is what lets the writer keep the order.
+    (
+        header.unionByName(rows)
+        .select(name.alias("file_name"), "part", "report_id", "line")
+        .orderBy("file_name", "part", "report_id")
+        .select("line", "file_name")
+        .write.partitionBy("file_name")
+        .option("lineSep", "\n")
+        .text(folder)
     )
-    path = report_file(folder, date, "csv")
-    header.union(rows).orderBy("part", "report_id").select("line").write.mode("overwrite").option(
-        "lineSep", "\n"
-    ).text(path)
-    return path
 
 
 def invalidate(spark: SparkSession, folder: str, date: dt.date, data_too: bool) -> None:
@@ -76,13 +84,28 @@ def publish_marker(spark: SparkSession, folder: str, date: dt.date, count: int)
     return path
 
 
-def publish(spool: DataFrame, folder: str, date: dt.date, stored_rows: int) -> int:
-    """Export one date; the marker is written last and only for a complete file."""
+def publish(spool: DataFrame, folder: str, stored: dict[dt.date, int]) -> dict[dt.date, int]:
+    """Export the given dates in one job; ``stored`` holds their row counts.
+
+    Returns the written counts. A date gets its data, and last its ready marker, only
+    if everything stored was written; otherwise it is left without both.
+    """
     spark = spool.sparkSession
-    invalidate(spark, folder, date, data_too=True)
-    path = write_report_csv(spool, folder, date)
-    written = spark.read.option("lineSep", "\n").text(path).count() - 1
-    if written != stored_rows:
-        raise ExportMismatch(f"exported {written} rows, stored {stored_rows}")
-    publish_marker(spark, folder, date, written)
+    for date in stored:
+        invalidate(spark, folder, date, data_too=True)
+    staging = f"{folder.rstrip('/')}/_export-{uuid.uuid4().hex}"
+    try:
+        write_reports(spool, staging, list(stored))
+        lines = spark.read.schema("value string, file_name string").option("lineSep", "\n").text(staging)
+        found = {r.file_name: r["count"] - 1 for r in lines.groupBy("file_name").count().collect()}
+        written = {}
+        for date, count in stored.items():
+            path = report_file(folder, date, "csv")
+            name = path.rsplit("/", 1)[-1]
+            written[date] = found.get(name, 0)
+            if written[date] == count:
+                files.move(spark, f"{staging}/file_name={name}", path)
+                publish_marker(spark, folder, date, count)
+    finally:
+        files.delete(spark, staging)
     return written

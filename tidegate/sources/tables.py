@@ -11,14 +11,21 @@ from pyspark.sql import types as T
 from tidegate.sources import files
 
 
-def overwrite_date(df: DataFrame, table: str, empty_dates: Iterable[dt.date] = ()) -> None:
+def overwrite_date(
+    df: DataFrame, table: str, empty_dates: Iterable[dt.date] = (), rebalance: bool = False
+) -> None:
     """Replace the business dates that ``df`` holds; other dates stay.
 
     A date without rows in ``df`` would keep its old rows, so dates known to have
     become empty are passed in ``empty_dates`` and replaced by an empty partition.
+
+    ``rebalance`` gathers the dates before writing. It is for many dates after a
+    shuffle on other keys, where every task would otherwise write a small file per
+    date; a large date is still split over many tasks.
     """
+    rows = df.hint("rebalance", "business_date") if rebalance else df
     (
-        df.write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("business_date")
         .parquet(table)

@@ -215,11 +215,11 @@ def _line_value(c):
 
 
 LINES_SQL = (
-    "SELECT report_id, " + " || ';' || ".join(_line_value(c) for c in S.REPORT_COLUMNS) + " AS line FROM spool"
+    "SELECT business_date, report_id, " + " || ';' || ".join(_line_value(c) for c in S.REPORT_COLUMNS) + " AS line FROM spool"
 )
 
 
-@query(sql(LINES_SQL))
+@query(sql(f"SELECT strftime(business_date, '%Y-%m-%d') AS business_date, report_id, line FROM ({LINES_SQL}) l"))
 def report_lines(spark, sf_dir):
     return outbound.report_lines(spool(spark, sf_dir))
 

@@ -93,23 +93,27 @@ def dated_table(spark, sf_dir):
     )
 
 
-_REPORT_DAY = shapes.QUARTERS[10]
-
-
 @query(sql(
-    f"SELECT line AS value FROM ({review.LINES_SQL.replace('FROM spool', 'FROM day_spool')}) l"
-    f" UNION ALL SELECT '{';'.join(S.REPORT_COLUMNS)}'"
-    " UNION ALL SELECT CAST(COUNT(*) AS VARCHAR) FROM day_spool",
-    day_spool=f"SELECT * FROM spool WHERE business_date = DATE '{_REPORT_DAY}'",
+    f"SELECT file_name, value FROM (SELECT l.*, line AS value, concat('aml_report_spool_',"
+    f" strftime(business_date, '%Y%m%d'), '.csv') AS file_name FROM ({review.LINES_SQL}) l) x"
+    f" UNION ALL SELECT DISTINCT concat('aml_report_spool_', strftime(business_date, '%Y%m%d'), '.csv'),"
+    f" '{';'.join(S.REPORT_COLUMNS)}' FROM spool"
+    " UNION ALL SELECT concat('aml_report_spool_', strftime(business_date, '%Y%m%d'), '.ok'),"
+    " CAST(COUNT(*) AS VARCHAR) FROM spool GROUP BY business_date"
 ))
 def report_files(spark, sf_dir):
-    """One date's report and its ready marker, exported and read back line by line."""
+    """All dates' reports and ready markers, exported and read back line by line."""
     folder = work_folder(spark, "outbound")
     report = review.spool(spark, sf_dir)
-    stored = report.filter(F.col("business_date") == F.lit(_REPORT_DAY)).count()
-    outbound.publish(report, folder, _REPORT_DAY, stored)
-    data = spark.read.text(outbound.report_file(folder, _REPORT_DAY, "csv"))
-    return data.unionByName(spark.read.text(outbound.report_file(folder, _REPORT_DAY, "ok")))
+    stored = {r.business_date: r["count"] for r in report.groupBy("business_date").count().collect()}
+    outbound.publish(report, folder, stored)
+    data = spark.read.text(f"{folder}/*.csv").select(
+        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.csv)/", 1).alias("file_name"), "value"
+    )
+    marks = spark.read.text(f"{folder}/*.ok").select(
+        F.col("_metadata.file_name").alias("file_name"), "value"
+    )
+    return data.unionByName(marks)
 
 
 @query(sql(shown(
