@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions import trim_both
 from tidegate.operators.aggregates import count_by, union_all
-from tidegate.operators.joins import orphans
+from tidegate.operators.joins import orphan_counts
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -24,7 +24,7 @@ def check_fk(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFr
     A key with a NULL part refers to nothing and passes.
     """
     complete = child.dropna(subset=list(keys))
-    return orphans(count_by(complete, keys), parent, keys)
+    return orphan_counts(complete, parent, keys)
 
 
 def check_expr(df: DataFrame, conditions: dict[str, str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions import ts_literal
 from tidegate.operators.aggregates import count_by
-from tidegate.operators.joins import orphans
+from tidegate.operators.joins import orphan_counts
 
 
 def readiness(files: DataFrame, expected: DataFrame) -> DataFrame:
@@ -113,9 +113,8 @@ def missing_clients(stage_transfers: DataFrame, core_clients: DataFrame) -> Data
     Transfers are first reduced to one row per client, so a busy client weighs
     no more than a quiet one in the join.
     """
-    per_client = count_by(stage_transfers, ["business_date", "client_id"], "n")
     return (
-        orphans(per_client, core_clients, ["business_date", "client_id"])
+        orphan_counts(stage_transfers, core_clients, ["business_date", "client_id"], "n")
         .groupBy("business_date")
         .agg(F.sum("n").alias("missing_rows"))
     )

@@ -46,6 +46,20 @@ def orphans(child: DataFrame, parent: DataFrame, on: Sequence[str]) -> DataFrame
     return child.join(parent.select(*on), list(on), "left_anti")
 
 
+def orphan_counts(
+    child: DataFrame, parent: DataFrame, on: Sequence[str], name: str = "row_count"
+) -> DataFrame:
+    """Keys of child rows without a parent row, with the number of such child rows.
+
+    Child rows are counted per key before the join, so a key with very many rows weighs
+    no more than any other. Written as an outer join because Spark would move an
+    anti-join below the count.
+    """
+    counts = child.groupBy(*on).agg(F.count("*").alias(name))
+    found = parent.select(*on, F.lit(1).alias("has_parent"))
+    return counts.join(found, list(on), "left").filter("has_parent IS NULL").drop("has_parent")
+
+
 def join_same_day_client(transfers: DataFrame, clients: DataFrame) -> DataFrame:
     """Transfers with the client snapshot of the same business date.
 
