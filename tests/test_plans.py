@@ -11,6 +11,7 @@ from tidegate import schemas as S
 from tidegate.operators import gates
 from tidegate.plans.mart import build_mart
 from tidegate.plans.runs import on_dates
+from tidegate.plans.spool import build_spool
 from tidegate.sources import reference
 from tidegate.sources.tables import overwrite_date, read_table
 
@@ -83,8 +84,8 @@ def test_counting_the_mart_reads_keys_only(spark, core):
 def test_busy_client_is_split_over_tasks(spark, core):
     transfers, clients, fx, n = core
     settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.autoBroadcastJoinThreshold": "10KB",  # rates only
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "10KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "60KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "30KB",
@@ -97,6 +98,12 @@ def test_busy_client_is_split_over_tasks(spark, core):
         mart = build_mart(transfers(), clients(), fx)
         assert len(mart.collect()) == n
         assert "skew=true" in plan_of(mart)
+        # The report joins clients on the same key again; both joins are split.
+        mart = mart.withColumns({"aml_review_flag": F.lit(1), "report_type_candidate": F.lit("ART74_SUSPICION")})
+        spool = build_spool(mart, clients(), dt.datetime(2026, 5, 3))
+        assert len(spool.collect()) == n
+        final = plan_of(spool).split("== Initial Plan ==")[0]
+        assert final.count("SortMergeJoin(skew=true)") == 2
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

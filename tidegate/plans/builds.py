@@ -27,6 +27,7 @@ from tidegate.plans.runs import (
 )
 from tidegate.plans.spool import build_spool, report_candidates
 from tidegate.sources import outbound
+from tidegate.sources.local import local_rows
 from tidegate.sources.tables import overwrite_date, read_table
 
 # Public error numbers.
@@ -257,9 +258,9 @@ def _spool_of(spark, warehouse, dates, run_ts):
 def mart_schema(spark: SparkSession):
     """Column types of the mart."""
     return build_mart(
-        spark.createDataFrame([], S.core_schema(S.TRANSFERS)),
-        spark.createDataFrame([], S.core_schema(S.CLIENTS)),
-        spark.createDataFrame([], S.FX_SCHEMA),
+        local_rows(spark, [], S.core_schema(S.TRANSFERS)),
+        local_rows(spark, [], S.core_schema(S.CLIENTS)),
+        local_rows(spark, [], S.FX_SCHEMA),
     ).schema
 
 

@@ -39,6 +39,7 @@ from tidegate.plans.runs import (
 from tidegate.schemas import Dataset
 from tidegate.sources import inbound, reference
 from tidegate.sources.files import work_folder
+from tidegate.sources.local import local_rows
 from tidegate.sources.tables import overwrite_date, read_table
 
 # Last two digits of the public error numbers.
@@ -122,7 +123,9 @@ def _check_files(spark, warehouse, dataset, dates, mode, now, cutoff, retry_minu
         return failed(dataset.process, date, reason, dataset.error_base - code, message, **counts)
 
     files = inbound.list_files(spark, warehouse.inbound)
-    wanted = spark.createDataFrame([(dataset.name, d) for d in dates], "dataset string, business_date date")
+    wanted = local_rows(
+        spark, [(dataset.name, d) for d in dates], "dataset string, business_date date"
+    )
     manifest = gates.readiness(files, wanted).filter(
         (F.col("is_expected") == 1) & (F.col("dataset") == dataset.name)
     )
@@ -235,8 +238,8 @@ def _load_files(spark, warehouse, dataset, expected, ref_currency, ref_country):
         F.count_if(is_valid & (F.col(key.parsed) != F.round(key.parsed, 0))).alias("rounded_keys"),
     )
     repeats = duplicates.groupBy("business_date").agg(F.sum("key_rows").alias("repeated"))
-    promised = spark.createDataFrame(
-        list(expected.items()), "business_date date, expected_row_count long"
+    promised = local_rows(
+        spark, expected.items(), "business_date date, expected_row_count long"
     )
     zero = F.lit(0)
     counts = (

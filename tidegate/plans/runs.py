@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidegate import schemas as S
 from tidegate.operators.control import upsert_runs
 from tidegate.schemas import Dataset
+from tidegate.sources.local import local_rows
 from tidegate.sources.tables import overwrite_date, read_table
 
 
@@ -144,8 +145,8 @@ class Recorder:
         if not rows:
             return
         fields = S.RUN_EVENT_SCHEMA.fieldNames()
-        events = self.spark.createDataFrame(
-            [tuple(r[f] for f in fields) for r in rows], S.RUN_EVENT_SCHEMA
+        events = local_rows(
+            self.spark, [tuple(r[f] for f in fields) for r in rows], S.RUN_EVENT_SCHEMA
         )
         dates = sorted({r["business_date"] for r in rows})
         overwrite_date(

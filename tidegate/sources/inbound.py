@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidegate import schemas as S
 from tidegate.schemas import Dataset
+from tidegate.sources.local import local_rows
 
 CSV_OPTIONS = {"sep": ";", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 _DATED_NAME = r"\A(.+)_([0-9]{8})\.(csv|ok)\z"
@@ -51,7 +52,7 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
             F.col("_metadata.file_size").alias("length"),
         )
     except AnalysisException:
-        files = spark.createDataFrame([], "file_name string, length long")
+        files = local_rows(spark, [], "file_name string, length long")
     return files.filter(F.col("file_name").rlike(_DATED_NAME)).select(
         "file_name",
         dataset_of("file_name").alias("dataset"),
@@ -202,7 +203,7 @@ def read_ready_counts(spark: SparkSession, inbound: str) -> DataFrame:
         lines = read_lines(spark, f"{inbound.rstrip('/')}/*_*.ok")
     except AnalysisException:
         return ready_counts(
-            spark.createDataFrame([], "file_name string, value string"), files
+            local_rows(spark, [], "file_name string, value string"), files
         )
     first = lines.filter("split_start = 0").groupBy("source_file_name").agg(
         F.min_by("value", "line_id").alias("value")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidegate import schemas as S
 from tidegate.functions import fmt_amount, fmt_date, fmt_ts
 from tidegate.sources import files
+from tidegate.sources.local import local_rows
 
 _FORMATS = {
     "report_run_ts": fmt_ts,
@@ -49,7 +50,8 @@ def write_reports(spool: DataFrame, folder: str, dates: Sequence[dt.date]) -> No
     range-partitioned sort serves all dates, so neither a long report nor many short
     ones end up in one task.
     """
-    header = spool.sparkSession.createDataFrame(
+    header = local_rows(
+        spool.sparkSession,
         [(d, 0, "", ";".join(S.REPORT_COLUMNS)) for d in dates],
         "business_date date, part int, report_id string, line string",
     )

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from tidegate import schemas as S
 from tidegate.operators.checks import check_expr, check_unique
+from tidegate.sources.local import local_rows
 from tidegate.sources.tables import overwrite_date
 
 
 def _dictionary(spark: SparkSession, codes: dict[str, str], prefix: str) -> DataFrame:
-    return spark.createDataFrame(
+    return local_rows(
+        spark,
         [(code, name, 1) for code, name in codes.items()],
         f"{prefix}_code string, {prefix}_name string, is_active_flag int",
     )
@@ -35,9 +37,8 @@ def fx_rates(
     rate_source: str = S.RATE_SOURCE,
 ) -> DataFrame:
     """Daily rates from (date, currency, units, mid rate in PLN), published that day."""
-    return spark.createDataFrame(
-        [(d, code, units, mid, rate_source, d) for d, code, units, mid in rates], S.FX_SCHEMA
-    )
+    rows = [(d, code, units, mid, rate_source, d) for d, code, units, mid in rates]
+    return local_rows(spark, rows, S.FX_SCHEMA)
 
 
 def load_fx_rates(rates: DataFrame, table: str) -> None:

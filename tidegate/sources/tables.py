@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidegate.sources import files
+from tidegate.sources.local import local_rows
 
 
 def overwrite_date(
@@ -41,12 +42,12 @@ def clear_dates(
     for date in dates:
         partition = f"{table}/business_date={date:%Y-%m-%d}"
         if files.exists(spark, partition):
-            nothing = spark.createDataFrame([], T.StructType(fields))
+            nothing = local_rows(spark, [], T.StructType(fields))
             nothing.write.mode("overwrite").parquet(partition)
 
 
 def read_table(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
     """The table, or no rows if it was never written."""
     if not files.exists(spark, table):
-        return spark.createDataFrame([], schema)
+        return local_rows(spark, [], schema)
     return spark.read.schema(schema).parquet(table).select(*schema.fieldNames())

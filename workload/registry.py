@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.session import prepare
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -19,7 +21,7 @@ def query(sql: str | None = None, name: str | None = None):
 
     def register(fn: Query) -> Query:
         key = name or fn.__name__
-        QUERIES[key] = lambda spark, sf_dir: shown(fn(spark, sf_dir))
+        QUERIES[key] = lambda spark, sf_dir: shown(fn(prepare(spark), sf_dir))
         if sql is not None:
             ORACLES[key] = sql
         return fn
