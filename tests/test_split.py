@@ -218,3 +218,21 @@ def test_gate_needs_every_process(spark):
     strict = {r.business_date: r.is_open for r in gates.gate(control, ["A", "B"], ["DONE"]).collect()}
     assert loose == {DAY: 1, X.MAR[1]: 0}
     assert strict == {DAY: 0, X.MAR[1]: 0}
+
+
+def test_reading_dated_files_directly(spark, tmp_path):
+    X.write_all(tmp_path)
+    rows = inbound.read_transfers_raw(spark, str(tmp_path), X.MAR[1], X.MAR[4]).collect()
+    assert sorted((r.business_date, r.source_row_num) for r in rows) == [
+        (X.MAR[1], i) for i in range(2, 14)
+    ] + [(X.MAR[4], 2), (X.MAR[4], 3)]
+    clients = inbound.read_clients_raw(spark, str(tmp_path), X.APR[15]).collect()
+    assert len(clients) == 10 and clients[0].client_type_raw == " private "
+    (tmp_path / "clients_20260501.ok").write_text("")
+    got = {
+        (r.dataset, r.business_date): (r.ready_state, r.expected_row_count)
+        for r in inbound.read_ready_counts(spark, str(tmp_path)).collect()
+    }
+    assert got["clients", X.APR[15]] == ("OK", 10)
+    assert got["clients", dt.date(2026, 5, 1)] == ("EMPTY", None)
+    assert inbound.list_files(spark, str(tmp_path / "nowhere")).count() == 0

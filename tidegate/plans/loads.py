@@ -37,7 +37,7 @@ from tidegate.plans.runs import (
     unexpected,
 )
 from tidegate.schemas import Dataset
-from tidegate.sources import inbound, reference
+from tidegate.sources import files, inbound, reference
 from tidegate.sources.files import work_folder
 from tidegate.sources.local import local_rows
 from tidegate.sources.tables import overwrite_date, read_table
@@ -101,9 +101,13 @@ def load(
                 ref_currency = reference.ref_currency(spark)
             if ref_country is None:
                 ref_country = reference.ref_country(spark)
-            done += _load_files(
-                spark, warehouse, dataset, expected, ref_currency, ref_country
-            )
+            work = work_folder(spark, f"load_{dataset.name}")
+            try:
+                done += _load_files(
+                    spark, warehouse, dataset, expected, ref_currency, ref_country, work
+                )
+            finally:
+                files.delete(spark, work)
     except Exception as error:
         settled = {o.business_date for o in done}
         done += unexpected(dataset.process, [d for d in dates if d not in settled], error)
@@ -122,11 +126,11 @@ def _check_files(spark, warehouse, dataset, dates, mode, now, cutoff, retry_minu
     def fail(date, reason, code, message, **counts):
         return failed(dataset.process, date, reason, dataset.error_base - code, message, **counts)
 
-    files = inbound.list_files(spark, warehouse.inbound)
+    listed = inbound.list_files(spark, warehouse.inbound)
     wanted = local_rows(
         spark, [(dataset.name, d) for d in dates], "dataset string, business_date date"
     )
-    manifest = gates.readiness(files, wanted).filter(
+    manifest = gates.readiness(listed, wanted).filter(
         (F.col("is_expected") == 1) & (F.col("dataset") == dataset.name)
     )
     decided = per_date(gates.readiness_decision(manifest, mode, now, cutoff, retry_minutes))
@@ -186,15 +190,20 @@ def _read_promised(spark, warehouse, dataset, dates):
     """date -> (ready_state, count) of the ready files."""
     if not dates:
         return {}
+    names = [inbound.snapshot_name(dataset, d, "ok") for d in dates]
     try:
-        counts = on_dates(inbound.read_ready_counts(spark, warehouse.inbound), dates)
-        rows = per_date(counts.filter(F.col("dataset") == dataset.name))
-    except Exception:  # a file vanished or may not be read
-        return {d: ("UNREADABLE", None) for d in dates}
+        rows = per_date(inbound.read_ready_counts(spark, warehouse.inbound, names))
+    except Exception:  # some file vanished or may not be read: find out which
+        if len(dates) == 1:
+            return {dates[0]: ("UNREADABLE", None)}
+        half = len(dates) // 2
+        return _read_promised(spark, warehouse, dataset, dates[:half]) | _read_promised(
+            spark, warehouse, dataset, dates[half:]
+        )
     return {d: (rows[d].ready_state, rows[d].expected_row_count) for d in dates}
 
 
-def _judge_files(spark, warehouse, dataset, dates, ref_currency, ref_country):
+def _judge_files(spark, warehouse, dataset, dates, ref_currency, ref_country, work):
     """Judged rows with line numbers, from a work table written in one pass over the files."""
     paths = [inbound.snapshot_path(warehouse.inbound, dataset, d) for d in dates]
     raw = inbound.parse_lines(inbound.read_lines(spark, paths), dataset)
@@ -204,30 +213,27 @@ def _judge_files(spark, warehouse, dataset, dates, ref_currency, ref_country):
         if dataset is S.TRANSFERS
         else judge_clients(raw)
     )
-    table = work_folder(spark, f"judged_{dataset.name}")
-    judged.write.partitionBy("business_date").parquet(table)
-    stored = spark.read.schema(judged.schema).parquet(table)
+    stored = _store(judged, f"{work}/judged")
+    offsets = _store(inbound.split_offsets(stored), f"{work}/offsets")
+    listed = on_dates(inbound.list_files(spark, warehouse.inbound), dates)
     small = inbound.may_broadcast_offsets(
-        spark, inbound.list_files(spark, warehouse.inbound).filter("kind = 'csv'")
-    )
-    return inbound.with_source_row_num(stored, broadcast_offsets=small).filter(
-        "source_row_num > 1"
+        spark, listed.filter((F.col("kind") == "csv") & (F.col("dataset") == dataset.name))
     )
+    return inbound.with_source_row_num(stored, offsets, small).filter("source_row_num > 1")
 
 
-def _stored_duplicates(spark, judged, dataset):
-    """Repeated keys as a stored table, so that its size decides the join."""
-    table = work_folder(spark, f"duplicates_{dataset.name}")
-    duplicates = duplicate_keys(judged, dataset)
-    duplicates.write.parquet(table)
-    return spark.read.schema(duplicates.schema).parquet(table)
+def _store(df, table):
+    """``df`` as a written table: computed once, safe from lost executors, of known size."""
+    df.write.parquet(table)
+    return df.sparkSession.read.schema(df.schema).parquet(table)
 
 
-def _load_files(spark, warehouse, dataset, expected, ref_currency, ref_country):
+def _load_files(spark, warehouse, dataset, expected, ref_currency, ref_country, work):
     dates = sorted(expected)
     key = dataset.field(dataset.key)
-    judged = _judge_files(spark, warehouse, dataset, dates, ref_currency, ref_country)
-    duplicates = _stored_duplicates(spark, judged, dataset)
+    judged = _judge_files(spark, warehouse, dataset, dates, ref_currency, ref_country, work)
+    # Stored, so that its size decides how it is joined.
+    duplicates = _store(duplicate_keys(judged, dataset), f"{work}/duplicates")
 
     is_valid = F.col("reject_reason").isNull()
     rows = judged.groupBy("business_date").agg(

@@ -19,6 +19,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def listing(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """(name, length) of the files that match; empty files included, unlike in a scan."""
+    fs, target = _fs(spark, pattern)
+    return [
+        (status.getPath().getName(), status.getLen())
+        for status in fs.globStatus(target) or []
+        if status.isFile()
+    ]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     if fs.exists(target):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidegate import schemas as S
 from tidegate.schemas import Dataset
+from tidegate.sources.files import listing
 from tidegate.sources.local import local_rows
 
 CSV_OPTIONS = {"sep": ";", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
@@ -44,15 +45,11 @@ def date_of(file_name: str | Column) -> Column:
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """(file_name, dataset, business_date, kind, length) of the dated files in a folder.
 
-    Reads file names and sizes only. An empty or missing folder gives no rows.
+    Names and sizes only. An empty or missing folder gives no rows.
     """
-    try:
-        files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/*_*.*").select(
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("_metadata.file_size").alias("length"),
-        )
-    except AnalysisException:
-        files = local_rows(spark, [], "file_name string, length long")
+    files = local_rows(
+        spark, listing(spark, f"{folder.rstrip('/')}/*_*.*"), "file_name string, length long"
+    )
     return files.filter(F.col("file_name").rlike(_DATED_NAME)).select(
         "file_name",
         dataset_of("file_name").alias("dataset"),
@@ -154,19 +151,13 @@ def read_raw(
 ) -> DataFrame:
     """Raw rows of one or many dated snapshots, with their line numbers."""
     paths = [snapshot_path(inbound, dataset, d) for d in dates]
+    files = list_files(spark, inbound).filter(F.col("file_name").isin([snapshot_name(dataset, d) for d in dates]))
     numbered = with_source_row_num(
-        read_lines(spark, paths),
-        broadcast_offsets=may_broadcast_offsets(spark, _sizes(spark, paths)),
+        read_lines(spark, paths), broadcast_offsets=may_broadcast_offsets(spark, files)
     )
     return parse_lines(numbered.filter("source_row_num > 1"), dataset)
 
 
-def _sizes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return spark.read.format("binaryFile").load(list(paths)).select(
-        F.col("_metadata.file_size").alias("length")
-    )
-
-
 def read_transfers_raw(spark: SparkSession, inbound: str, *dates: dt.date) -> DataFrame:
     return read_raw(spark, inbound, S.TRANSFERS, dates)
 
@@ -196,11 +187,16 @@ def ready_counts(first_lines: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def read_ready_counts(spark: SparkSession, inbound: str) -> DataFrame:
-    """``ready_counts`` of all ready files in a folder; only first lines count."""
+def read_ready_counts(
+    spark: SparkSession, inbound: str, names: Sequence[str] | None = None
+) -> DataFrame:
+    """``ready_counts`` of the named ready files of a folder, or of all; only first lines count."""
     files = list_files(spark, inbound).filter("kind = 'ok'")
+    if names is not None:
+        files = files.filter(F.col("file_name").isin(list(names)))
     try:
-        lines = read_lines(spark, f"{inbound.rstrip('/')}/*_*.ok")
+        folder = inbound.rstrip("/")
+        lines = read_lines(spark, [f"{folder}/{n}" for n in names or ["*_*.ok"]])
     except AnalysisException:
         return ready_counts(
             local_rows(spark, [], "file_name string, value string"), files

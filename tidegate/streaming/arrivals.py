@@ -20,7 +20,10 @@ _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content bi
 
 
 def arrivals(spark: SparkSession, folder: str) -> DataFrame:
-    """Stream of (dataset, business_date), one row per ready file; contents are not read."""
+    """Stream of (dataset, business_date), one row per ready file; contents are not read.
+
+    An empty ready file is no arrival: file scans skip empty files.
+    """
     name = F.col("_metadata.file_name")
     return (
         spark.readStream.format("binaryFile")
