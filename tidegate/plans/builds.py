@@ -71,7 +71,7 @@ def run_mart(
     """Build the mart of the given dates; a failing date keeps its earlier mart."""
     process, dates = S.BUILD_MART, sorted(set(dates))
     recorder = _start(
-        spark, warehouse, process, dates, run_mode, MART_BAD_RUN_MODE, "AML mart build started.", clock
+        spark, warehouse, process, dates, run_mode, MART_BAD_RUN_MODE, "Mart build started.", clock
     )
     done: list[Outcome] = []
     try:
@@ -82,7 +82,7 @@ def run_mart(
             done.append(
                 failed(
                     process, date, "UPSTREAM_LOAD_NOT_READY", MART_UPSTREAM,
-                    "Both client and transfer loads must finish before the mart is built.",
+                    "The client and transfer loads of the date are not both finished.",
                 )
             )
         todo = [d for d in dates if d in is_open]
@@ -119,7 +119,7 @@ def _mart_of(spark, warehouse, dates):
             outcomes.append(
                 failed(
                     process, date, "NO_TRANSFER_CORE_ROWS", MART_NO_ROWS,
-                    "No core transfer rows found for the requested business_date.",
+                    "The date has no loaded transfers.",
                     expected_row_count=0,
                 )
             )
@@ -127,7 +127,7 @@ def _mart_of(spark, warehouse, dates):
             outcomes.append(
                 failed(
                     process, date, "MISSING_FX_RATES", MART_NO_RATES,
-                    f"Missing FX reference rows for currencies: {rates[date].missing_currencies}",
+                    f"No rates for {rates[date].missing_currencies}.",
                     expected_row_count=expected,
                 )
             )
@@ -135,7 +135,7 @@ def _mart_of(spark, warehouse, dates):
             outcomes.append(
                 failed(
                     process, date, "MART_ROW_COUNT_MISMATCH", MART_MISMATCH,
-                    "Mart row count does not match source transfer row count.",
+                    "The mart would not have one row per transfer.",
                     expected_row_count=expected, core_row_count=actual,
                 )
             )
@@ -144,7 +144,7 @@ def _mart_of(spark, warehouse, dates):
             outcomes.append(
                 Outcome(
                     process, date, "DONE", "MART_BUILD_DONE",
-                    "AML mart build completed successfully.",
+                    "Mart built.",
                     expected_row_count=expected, core_row_count=actual,
                 )
             )
@@ -174,7 +174,7 @@ def run_spool(
 
     recorder = _start(
         spark, warehouse, process, dates, run_mode, SPOOL_BAD_RUN_MODE,
-        "AML report spool build started.", clock, names=names,
+        "Report build started.", clock, names=names,
     )
     done: list[Outcome] = []
     try:
@@ -185,7 +185,7 @@ def run_spool(
             done.append(
                 failed(
                     process, date, "UPSTREAM_NOT_PUBLISHABLE", SPOOL_UPSTREAM,
-                    "Client load, transfer load and mart build must finish with DONE first.",
+                    "The loads and the mart of the date are not all DONE.",
                 )
             )
         todo = [d for d in dates if d in is_open]
@@ -221,7 +221,7 @@ def _spool_of(spark, warehouse, dates, run_ts):
             outcomes.append(
                 failed(
                     process, date, "SPOOL_ROW_COUNT_MISMATCH", SPOOL_MISMATCH,
-                    "Spool row count does not match selected AML mart candidate count.",
+                    "The report would not have one row per transfer up for review.",
                     expected_row_count=expected, core_row_count=actual,
                 )
             )
@@ -240,7 +240,7 @@ def _spool_of(spark, warehouse, dates, run_ts):
             outcomes.append(
                 failed(
                     process, date, "UNEXPECTED_ERROR", SPOOL_EXPORT,
-                    "Exported row count does not match aml_report_spool row count.",
+                    "The exported file does not hold every report row.",
                     expected_row_count=count, core_row_count=count,
                 )
             )
@@ -248,7 +248,7 @@ def _spool_of(spark, warehouse, dates, run_ts):
             outcomes.append(
                 Outcome(
                     process, date, "DONE", "SPOOL_BUILD_DONE",
-                    "AML report spool and outbound files completed successfully.",
+                    "Report built and exported.",
                     expected_row_count=count, core_row_count=count,
                 )
             )
@@ -279,7 +279,7 @@ def run_workflow(
     process, dates = S.RUN_WORKFLOW, sorted(set(dates))
     recorder = _start(
         spark, warehouse, process, dates, run_mode, FLOW_BAD_RUN_MODE,
-        "AML workflow started.", clock, reason="WORKFLOW_STARTED",
+        "Workflow started.", clock, reason="WORKFLOW_STARTED",
     )
     steps = (
         (S.LOAD_CLIENTS, load_clients),
@@ -313,7 +313,7 @@ def run_workflow(
                 done.append(_step_failed(name, result, error_text))
                 running.remove(result.business_date)
     done += [
-        Outcome(process, d, "DONE", "WORKFLOW_DONE", "AML workflow completed successfully.")
+        Outcome(process, d, "DONE", "WORKFLOW_DONE", "Workflow finished.")
         for d in running
     ]
     recorder.record(done)
@@ -322,13 +322,13 @@ def run_workflow(
 
 def _step_failed(step: str, result: Outcome, error_text: str | None) -> Outcome:
     parts = [
-        f"Step {step} failed for business_date {result.business_date:%Y-%m-%d}. "
-        f"Expected DONE, got {result.status}"
+        f"{step} of {result.business_date:%Y-%m-%d} ended in {result.status}"
         + (f" / {result.reason_code}" if result.reason_code else "")
     ]
     if result.message:
-        parts.append(f"Step message: {result.message[:1500]}")
-    parts.append(f"Error: {(error_text or 'Step status check failed.')[:1500]}")
+        parts.append(result.message[:1500].rstrip("."))
+    if error_text:
+        parts.append(f"Error: {error_text[:1500]}")
     return failed(
         S.RUN_WORKFLOW, result.business_date, "WORKFLOW_STEP_FAILED",
         result.error_code or FLOW_STEP, ". ".join(parts)[:4000],

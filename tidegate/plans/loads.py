@@ -85,7 +85,7 @@ def load(
     }
     recorder.record(
         Outcome(
-            dataset.process, d, "PROCESSING", message="Load attempt started.",
+            dataset.process, d, "PROCESSING", message="Load started.",
             finished=False, **names[d],
         )
         for d in dates
@@ -141,14 +141,14 @@ def _check_files(spark, warehouse, dataset, dates, mode, now, cutoff, retry_minu
             outcomes.append(
                 Outcome(
                     dataset.process, date, row.status, row.reason_code,
-                    "Ready file not available before the cutoff. Waiting for the next retry.",
+                    "No ready file yet; the cutoff has not passed.",
                     next_retry_ts=row.next_retry_ts, retry_count_delta=1,
                 )
             )
         elif row.status == "FAILED":
             name = inbound.snapshot_name(dataset, date, "ok")
             outcomes.append(
-                fail(date, row.reason_code, NO_READY_FILE, f"Ready file {name} not found.")
+                fail(date, row.reason_code, NO_READY_FILE, f"{name} is not there.")
             )
         else:
             ready.append(date)
@@ -159,17 +159,17 @@ def _check_files(spark, warehouse, dataset, dates, mode, now, cutoff, retry_minu
         name = inbound.snapshot_name(dataset, date, "ok")
         if state == "UNREADABLE":
             outcomes.append(
-                fail(date, "READY_FILE_READ_ERROR", UNREADABLE_READY_FILE, f"Unable to read {name}.")
+                fail(date, "READY_FILE_READ_ERROR", UNREADABLE_READY_FILE, f"{name} cannot be read.")
             )
         elif state == "EMPTY":
             outcomes.append(
-                fail(date, "INVALID_OK_CONTENT", EMPTY_READY_FILE, f"Ready file {name} is empty.")
+                fail(date, "INVALID_OK_CONTENT", EMPTY_READY_FILE, f"{name} holds no line.")
             )
         elif state == "INVALID":
             outcomes.append(
                 fail(
                     date, "INVALID_OK_CONTENT", BAD_READY_FILE,
-                    f"Ready file {name} must contain a single non-negative integer row count.",
+                    f"The first line of {name} is not a row count.",
                 )
             )
         elif not decided[date].has_data_file:
@@ -177,7 +177,7 @@ def _check_files(spark, warehouse, dataset, dates, mode, now, cutoff, retry_minu
             outcomes.append(
                 fail(
                     date, "MISSING_DATA_FILE", NO_DATA_FILE,
-                    f"Data file {data} not found although ready file exists.",
+                    f"{data} is not there, but its ready file is.",
                     expected_row_count=count,
                 )
             )
@@ -294,10 +294,10 @@ def _load_files(spark, warehouse, dataset, expected, ref_currency, ref_country,
         elif row.count_problem == "OK_COUNT_INCLUDES_HEADER":
             fail(
                 row, row.count_problem, COUNT_WITH_HEADER,
-                "Ready file row count appears to include the CSV header.",
+                "The ready file counts one row more than the file has: the header?",
             )
         elif row.count_problem:
-            fail(row, row.count_problem, COUNT_MISMATCH, "Ready file row count mismatch.")
+            fail(row, row.count_problem, COUNT_MISMATCH, "The ready file counts other rows than the file has.")
         else:
             good.append(date)
 
@@ -313,9 +313,9 @@ def _load_files(spark, warehouse, dataset, expected, ref_currency, ref_country,
     for date in good:
         row = counted[date]
         message = (
-            "Load completed with rejected input rows."
+            "Loaded; some rows were rejected."
             if row.status == "WARNING"
-            else "Load completed successfully."
+            else "Loaded."
         )
         outcomes.append(
             Outcome(
@@ -345,8 +345,7 @@ def _broken_links(spark, warehouse, dataset, stage, dates, rounded):
         for row in gates.missing_clients(stage, clients).collect():
             problems[row.business_date] = (
                 "MISSING_CLIENT_SNAPSHOT", NO_CLIENT,
-                f"{row.missing_rows} accepted transfer row(s) do not have a matching client"
-                " snapshot for the same business_date.",
+                f"{row.missing_rows} accepted transfer(s) have no client of their date.",
             )
     else:
         transfers = on_dates(_core(spark, warehouse, S.TRANSFERS), dates)

@@ -65,7 +65,7 @@ def normalise_run_mode(run_mode: str | None, code: int) -> str:
     mode = (run_mode or "").strip(" ").upper()
     if mode not in S.RUN_MODES:
         shown = "<NULL>" if run_mode is None else run_mode[:100] if mode else "<BLANK>"
-        raise StepError(code, f"Unsupported run mode {shown}. Expected AUTO or MANUAL.")
+        raise StepError(code, f"Run mode {shown} is neither AUTO nor MANUAL.")
     return mode
 
 
