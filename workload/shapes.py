@@ -211,13 +211,13 @@ RATES_WITH_GAPS = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, spread over the cores if it is too small a file to split.
+    """A given table, spread over a few tasks if it is too small a file to split.
 
-    Large inputs come in more splits than there are cores and are left as they are.
+    Inputs of a few hundred megabytes and more come in enough splits and are left as they are.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = min(spark.sparkContext.defaultParallelism, 16)
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 def inbound_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
