@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import lines
+from tidegate.llm import jaccard, lines
 from tidegate.llm.work import table
 from tidegate.session import prepare
 
@@ -81,3 +81,43 @@ SELECT *, NOT base_failed AND n_words - n_removed_words >= 10
 FROM judged
 """
 ORACLES["op4_line_quality"] = _LINE_SQL
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shingle count, component and number of links."""
+    return jaccard.jaccard_join(spark, table(spark, sf_dir, "documents"))
+
+
+ORACLES["op5_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+grams AS MATERIALIZED (
+  SELECT DISTINCT doc_id, md5_number_lower(array_to_string(w[i:i + 4], ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM words WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+prints AS MATERIALIZED (SELECT doc_id, md5(string_agg(g::VARCHAR, ',' ORDER BY g)) AS p FROM grams GROUP BY doc_id),
+reps AS MATERIALIZED (SELECT p, min(doc_id) AS rep, count(*) AS copies FROM prints GROUP BY p),
+rare AS MATERIALIZED (
+  SELECT g, doc_id FROM grams WHERE doc_id IN (SELECT rep FROM reps)),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM rare a JOIN rare b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  WHERE 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reach(a, b) AS (
+  SELECT rep, rep FROM reps UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least_of AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+degree AS (
+  SELECT l.a, sum(r.copies) AS d FROM links l JOIN reps r ON r.rep = l.b GROUP BY l.a)
+SELECT w.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles,
+       coalesce(c.c, w.doc_id) AS component_id,
+       coalesce(r.copies - 1 + coalesce(d.d, 0), 0)::BIGINT AS n_links
+FROM words w LEFT JOIN sizes s USING (doc_id) LEFT JOIN prints p USING (doc_id)
+LEFT JOIN reps r ON r.p = p.p LEFT JOIN least_of c ON c.a = r.rep LEFT JOIN degree d ON d.a = r.rep
+"""
