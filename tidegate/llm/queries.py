@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import jaccard, lines
+from tidegate.llm import decontam, jaccard, lines
 from tidegate.llm.work import table
 from tidegate.session import prepare
 
@@ -121,3 +121,10 @@ SELECT w.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles,
 FROM words w LEFT JOIN sizes s USING (doc_id) LEFT JOIN prints p USING (doc_id)
 LEFT JOIN reps r ON r.p = p.p LEFT JOIN least_of c ON c.a = r.rep LEFT JOIN degree d ON d.a = r.rep
 """
+
+
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item and the run of words."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontam.find_leaks(spark, docs, benchmark).drop("row")
