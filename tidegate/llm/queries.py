@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontam, jaccard, lines
+from tidegate.llm import decontam, jaccard, lines, mixture
 from tidegate.llm.work import table
 from tidegate.session import prepare
 
@@ -128,3 +128,9 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item and the run of words."""
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontam.find_leaks(spark, docs, benchmark).drop("row")
+
+
+@query
+def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's size, its source's size and target, and the words the mix takes of it."""
+    return mixture.mix(spark, table(spark, sf_dir, "documents")).drop("row")
