@@ -1,18 +1,84 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again."""
+"""The corpus pipeline: stages over ``documents``, each written and read again.
+
+Every stage takes (spark, docs, sf_dir). All but the last return the columns of the
+documents they got; repeated rows stay repeated except where a stage says so.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidegate.llm.work import stored, table
+from tidegate.llm import decontam, jaccard, lines, mixture, shards
+from tidegate.llm.work import row_key, stored, table
 from tidegate.session import prepare
 
-STAGES: list = []
+
+def _without(docs: DataFrame, key, rejected: DataFrame) -> DataFrame:
+    """Rows whose key is not among the rejected ``row`` keys; keys are never null."""
+    return docs.join(rejected.select("row").distinct(), key == F.col("row"), "left_anti")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or are depleted of lines of their own go."""
+    judged = lines.line_quality(prepare(spark), docs)
+    key = row_key(docs["doc_id"], docs["source"], docs["text"])
+    return _without(docs, key, stored(spark, judged.where("NOT kept"), "rejected"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays, once.
+
+    Documents without an id all stay, as nothing can be told of them.
+    """
+    joined = jaccard.jaccard_join(prepare(spark), docs)
+    dropped = stored(spark, joined.where("component_id <> doc_id").select("doc_id"), "copies")
+    again = stored(spark, docs.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1"), "repeated")
+    left = docs.join(dropped.distinct(), "doc_id", "left_anti")
+    once = left.join(again, "doc_id", "left_anti")
+    first = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(first).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    leaks = decontam.find_leaks(prepare(spark), docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, row_key(docs["doc_id"], docs["text"]), stored(spark, leaks, "leaks"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    mixed = mixture.mix(prepare(spark), docs)
+    copies = mixed.groupBy(F.col("row").alias("_row")).agg(F.first("copies").alias("_copies")).where("_copies > 0")
+    key = row_key(docs["doc_id"], docs["source"], docs["text"])
+    return (
+        docs.withColumn("_key", key)
+        .join(copies, F.col("_key") == F.col("_row"))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+        .select(*docs.columns)
+    )
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The shard and place of every row."""
+    return shards.shard_documents(prepare(spark), docs, 24)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources", source_mix),
+    ("sharding", sharding),
+]
+
+#: Approximate search and hash draws have no SQL; the tests hold each stage to brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents of a folder."""
     docs = table(prepare(spark), sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stored(spark, stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontam, jaccard, lines, mixture
+from tidegate.llm import decontam, jaccard, lines, mixture, shards
 from tidegate.llm.work import table
 from tidegate.session import prepare
 
@@ -134,3 +134,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's size, its source's size and target, and the words the mix takes of it."""
     return mixture.mix(spark, table(spark, sf_dir, "documents")).drop("row")
+
+
+@query
+def op7_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard among 24, its place there, and its shard among 25."""
+    placed = shards.shard_documents(spark, table(spark, sf_dir, "documents"), 24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
