@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontam, jaccard, lines, mixture, shards
+from tidegate.llm import decontam, jaccard, lines, mixture, shards, tokens
 from tidegate.llm.work import table
 from tidegate.session import prepare
 
@@ -141,3 +141,17 @@ def op7_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard among 24, its place there, and its shard among 25."""
     placed = shards.shard_documents(spark, table(spark, sf_dir, "documents"), 24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place among all ids, its number of ids and their check sum, from the files."""
+    path = tokenizer_file("word_bpe_49k.json")
+    return tokens.token_round_trip(spark, table(spark, sf_dir, "documents"), path)
