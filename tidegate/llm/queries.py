@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontam, jaccard, lines, mixture, shards, tokens
+from tidegate.llm import decontam, jaccard, lines, mixture, shards, tokens, warc
 from tidegate.llm.work import table
 from tidegate.session import prepare
 
@@ -155,3 +155,21 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place among all ids, its number of ids and their check sum, from the files."""
     path = tokenizer_file("word_bpe_49k.json")
     return tokens.token_round_trip(spark, table(spark, sf_dir, "documents"), path)
+
+
+@query
+def op3_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from the archives."""
+    return warc.page_round_trip(spark, table(spark, sf_dir, "pages")).drop("url")
+
+
+ORACLES["op3_warc_archives"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
