@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontam, jaccard, lines, mixture, shards, tokens, warc
+from tidegate.llm import decontam, jaccard, langid, lines, mixture, shards, tokens, warc
 from tidegate.llm.work import table
 from tidegate.session import prepare
 
@@ -173,3 +173,9 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
 """
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's predicted language."""
+    return langid.identify(spark, table(spark, sf_dir, "documents"))
