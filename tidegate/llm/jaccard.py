@@ -5,11 +5,15 @@ with its transpose holds the overlap of every two sets. Only the part of it that
 matter is computed, and never as rows of a table:
 
 1. Every set becomes a fingerprint; equal sets are one class from here on.
-2. Shingles are ordered: rare ones by hash, those often seen by frequency, last.
+2. All columns are dealt to blocks by shingle, four bytes an entry, and each block adds up
+   how many of a set's shingles stand in another set too. A set needs ``ceil(s * size)`` of
+   them to have any partner; most sets have too many shingles of their own and are done.
+   (Entries that only look equal in four bytes let a few more through.)
+3. Shingles are ordered: rare ones by hash, those often seen by frequency, last.
    Any order gives the same result, so the list of frequent ones may be bounded.
    Two sets with the wanted similarity overlap by at least ``t = ceil(s * size)``, so
    they share one of the first ``size - t + 1`` shingles of each.
-3. These first columns are dealt to blocks by shingle. Each block adds up, for the
+   These first columns are dealt to blocks again. Each block adds up, for the
    pairs that share a column of at most ``group`` sets, how many they share; the
    sums are added over the blocks and pairs below the bound that their sizes set are
    discarded. Sets that share a larger column are tied to one of them, without pairs.
@@ -54,42 +58,119 @@ def _print(grams: np.ndarray) -> tuple[int, int]:
 
 
 def _sign(width: int):
-    schema = ["kind", "id", "n", "one", "two"]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in W.pieces(whole, "text"):
+                found = [(len(g), *_print(g)) for g in W.shingle_sets(batch.column("text"), width)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in zip(*found, strict=True)]],
+                    ["doc_id", "n", "one", "two"],
+                )
 
-    def often(window: list[np.ndarray]) -> pa.RecordBatch:
-        grams, n = np.unique(np.concatenate(window), return_counts=True)
-        grams, n = grams[n >= _OFTEN], n[n >= _OFTEN]
-        zero = np.zeros(len(n), np.int64)
+    return run
+
+
+def _packed(key: np.ndarray, name: str, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A row per key with the columns' values of that key as bytes."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    ends = [*cut[1:], len(key)]
+    packed = [[x[order[a:b]].tobytes() for a, b in zip(cut, ends, strict=True)] for x in columns.values()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(key[cut].astype(np.int64)), *[pa.array(x, pa.binary()) for x in packed]], [name, *columns]
+    )
+
+
+def _unpacked(table: pa.Table, column: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(column).to_pylist()), dtype=kind)
+
+
+def _deal_codes(width: int, blocks: int):
+    """All columns: per block the shingles' codes, set after set, and how many each set has there."""
+
+    def send(window: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        grams = np.concatenate([g for _, g in window])
+        at = np.repeat(np.arange(len(window)), [len(g) for _, g in window])
+        block = ((grams >> np.uint64(40)) % np.uint64(blocks)).astype(np.int64)
+        codes = _packed(block, "block", {"codes": grams.astype(np.uint32)})
+        each, counts = np.unique(block * len(window) + at, return_counts=True)
+        nodes = np.array([node for node, _ in window], np.int64)[each % len(window)]
+        runs = _packed(each // len(window), "block", {"nodes": nodes, "counts": counts.astype(np.int32)})
         return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (zero + 1, W.signed(grams), n.astype(np.int64), zero, zero)], schema
+            [*codes.columns, *runs.columns[1:]], ["block", "codes", "nodes", "counts"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window, held, seen = [], 0, set()
+        seen, window, held = set(), [], 0
         for whole in batches:
             for batch in W.pieces(whole, "text"):
-                n, one, two = [], [], []
                 for grams in W.shingle_sets(batch.column("text"), width):
-                    a, b = _print(grams)
-                    n.append(len(grams)), one.append(a), two.append(b)
-                    if len(grams) and a not in seen:
-                        seen.add(a)
-                        window.append(grams)
-                        held += len(grams)
+                    node = _print(grams)[0]
+                    if not len(grams) or node in seen:
+                        continue
+                    seen.add(node)
+                    window.append((node, grams))
+                    held += len(grams)
                     if held >= _WINDOW:
-                        yield often(window)
-                        window, held, seen = [], 0, set()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([0] * len(n), pa.int64()), batch.column("doc_id")]
-                    + [pa.array(x, pa.int64()) for x in (n, one, two)],
-                    schema,
-                )
+                        yield send(window)
+                        seen, window, held = set(), [], 0
         if window:
-            yield often(window)
+            yield send(window)
 
     return run
 
 
+def _shared(buckets: int):
+    """Of one block: per set how many of its shingles another set has; packed by sets."""
+
+    def run(table: pa.Table) -> pa.Table:
+        codes = _unpacked(table, "codes", np.uint32)
+        names, each = np.unique(_unpacked(table, "nodes", np.int64), return_inverse=True)
+        owner = np.repeat(each.astype(np.int32), _unpacked(table, "counts", np.int32))
+        order = np.argsort(codes, kind="stable")
+        codes, owner = codes[order], owner[order]
+        start = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+        length = np.diff(np.append(start, len(codes)))
+        several = np.minimum.reduceat(owner, start) != np.maximum.reduceat(owner, start)
+        # A class that came twice, from two tasks, has each shingle twice; it counts once.
+        counted = np.unique(np.repeat(start, length)[np.repeat(several, length)] * len(names) + owner[np.repeat(several, length)])
+        shared = np.bincount(counted % len(names), minlength=len(names)).astype(np.int32)
+        some = shared > 0
+        bucket = (names[some].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        if not len(bucket):
+            return pa.table({"bucket": pa.array([], pa.int64()), "nodes": pa.array([], pa.binary()), "shared": pa.array([], pa.binary())})
+        return pa.Table.from_batches([_packed(bucket, "bucket", {"nodes": names[some], "shared": shared[some]})])
+
+    return run
+
+
+def _sum_shared(table: pa.Table) -> pa.Table:
+    names, each = np.unique(_unpacked(table, "nodes", np.int64), return_inverse=True)
+    total = np.bincount(each, weights=_unpacked(table, "shared", np.int32)).astype(np.int64)
+    return pa.table({"node": names, "shared": total})
+
+
+def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles that are frequent within a window of sets."""
+
+    def send(window: list[np.ndarray]) -> pa.RecordBatch:
+        grams, n = np.unique(np.concatenate(window), return_counts=True)
+        grams, n = grams[n >= _OFTEN], n[n >= _OFTEN]
+        return pa.RecordBatch.from_arrays([pa.array(W.signed(grams)), pa.array(n.astype(np.int64))], ["gram", "n"])
+
+    window, held = [], 0
+    for batch in batches:
+        for raw in batch.column("grams"):
+            window.append(np.frombuffer(raw.as_py(), np.uint64))
+            held += len(window[-1])
+            if held >= _WINDOW:
+                yield send(window)
+                window, held = [], 0
+    if window:
+        yield send(window)
+
+
 def _first_columns(grams: np.ndarray, percent: int, hot: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The shingles of a set that come first and of which every similar set has one."""
     n = len(grams)
@@ -105,38 +186,26 @@ def _first_columns(grams: np.ndarray, percent: int, hot: np.ndarray, rank: np.nd
     return cold[:take]
 
 
-def _deal(width: int, percent: int, blocks: int, frequent):
+def _deal(percent: int, blocks: int, frequent):
+    """The first columns of the sets, by block."""
+
     def send(parts) -> pa.RecordBatch:
         columns, nodes, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
         block = (columns >> np.uint64(40)) % np.uint64(blocks)
-        order = np.argsort(block, kind="stable")
-        block = block[order]
-        cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        ends = [*cut[1:], len(block)]
-        packed = [
-            [x[order[a:b]].tobytes() for a, b in zip(cut, ends, strict=True)] for x in (columns, nodes, sizes)
-        ]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(block[cut].astype(np.int64)), *[pa.array(x, pa.binary()) for x in packed]],
-            ["block", "columns", "nodes", "sizes"],
-        )
+        return _packed(block, "block", {"columns": columns, "nodes": nodes, "sizes": sizes})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, rank = frequent.value
-        seen, parts, held = set(), [], 0
-        for whole in batches:
-            for batch in W.pieces(whole, "text"):
-                for grams in W.shingle_sets(batch.column("text"), width):
-                    node = _print(grams)[0]
-                    if not len(grams) or node in seen:
-                        continue
-                    seen.add(node)
-                    first = _first_columns(grams, percent, hot, rank)
-                    parts.append((first, np.full(len(first), node), np.full(len(first), len(grams), np.int32)))
-                    held += len(first)
-                    if held >= _WINDOW // 2:
-                        yield send(parts)
-                        seen, parts, held = set(), [], 0
+        parts, held = [], 0
+        for batch in batches:
+            for node, raw in zip(batch.column("node").to_pylist(), batch.column("grams"), strict=True):
+                grams = np.frombuffer(raw.as_py(), np.uint64)
+                first = _first_columns(grams, percent, hot, rank)
+                parts.append((first, np.full(len(first), node), np.full(len(first), len(grams), np.int32)))
+                held += len(first)
+                if held >= _WINDOW // 2:
+                    yield send(parts)
+                    parts, held = [], 0
         if parts:
             yield send(parts)
 
@@ -148,8 +217,7 @@ def _count(percent: int, group: int):
 
     def run(table: pa.Table) -> pa.Table:
         columns, nodes, sizes = (
-            np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=t)
-            for c, t in (("columns", np.uint64), ("nodes", np.int64), ("sizes", np.int32))
+            _unpacked(table, c, t) for c, t in (("columns", np.uint64), ("nodes", np.int64), ("sizes", np.int32))
         )
         order = np.lexsort((nodes, columns))
         columns, nodes, sizes = columns[order], nodes[order], sizes[order]
@@ -192,7 +260,7 @@ def _count(percent: int, group: int):
 
 
 def _sets(width: int):
-    """The sets of the documents that stand for a class in a family."""
+    """The sets of the documents that stand for their class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -205,7 +273,7 @@ def _sets(width: int):
                         grams_of.append(grams.tobytes())
                 if keep:
                     part = batch.take(pa.array(keep, pa.int64()))
-                    names = ["node", "copies", "family", "parts"]
+                    names = ["node", "copies", "n"]
                     yield pa.RecordBatch.from_arrays(
                         [*[part.column(c) for c in names], pa.array(grams_of, pa.binary())], [*names, "grams"]
                     )
@@ -252,8 +320,8 @@ def _link(percent: int):
     """Of one pair of parts: each set's smallest node reached, and its links in the pair."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("node", "ascending")])
-        nodes = table.column("node").to_numpy()
+        nodes, first = np.unique(table.column("node").to_numpy(), return_index=True)  # rows may repeat
+        table = table.take(first)
         part = table.column("part").to_numpy()
         copies = table.column("copies").to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
@@ -288,7 +356,8 @@ def jaccard_join(
     group: int = 32,
     block: int = 2048,
     grams: int = 4_000_000,
-    block_entries: int = 500_000,
+    block_entries: int = 250_000,
+    code_entries: int = 4_000_000,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links of every document.
 
@@ -297,12 +366,9 @@ def jaccard_join(
     that is broadcast (16 bytes each); the rest are compared without it.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = stored(
-        spark,
-        source.mapInArrow(_sign(width), "kind long, id long, n long, one long, two long"),
-        "shingle-prints",
+    rows = stored(
+        spark, source.mapInArrow(_sign(width), "doc_id long, n long, one long, two long"), "shingle-prints"
     )
-    rows = signed.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "one", "two")
     classes = stored(
         spark,
         rows.where("n > 0")
@@ -310,26 +376,51 @@ def jaccard_join(
         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")),
         "shingle-classes",
     )
+    node = classes.where("rep IS NOT NULL").select(F.col("one").alias("node"), "rep", "copies", "n")
+
+    entries = classes.agg(F.sum("n")).first()[0] or 0
+    blocks = int(entries // code_entries) + 1
+    shared = (
+        source.mapInArrow(
+            _deal_codes(width, blocks), "block long, codes binary, nodes binary, counts binary"
+        )
+        .groupBy("block")
+        .applyInArrow(_shared(blocks), "bucket long, nodes binary, shared binary")
+        .groupBy("bucket")
+        .applyInArrow(_sum_shared, "node long, shared long")
+    )
+    able = stored(
+        spark, node.join(shared, "node").where(100 * F.col("shared") >= percent * F.col("n")), "able-classes"
+    )
+    sets = stored(
+        spark,
+        source.join(able.withColumnRenamed("rep", "doc_id"), "doc_id")
+        .select("text", "node", "copies", "n")
+        .mapInArrow(_sets(width), "node long, copies long, n long, grams binary"),
+        "shingle-sets",
+    )
 
     often = (
-        signed.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(frequent)
+        sets.select("grams")
+        .mapInArrow(_often, "gram long, n long")
+        .groupBy("gram")
+        .agg(F.sum("n").alias("n"))
+        .orderBy(F.desc("n"), "gram")
+        .limit(frequent)
     ).collect()  # at most ``frequent`` rows
-    hot = np.array([r["id"] for r in often], np.int64).view(np.uint64)
+    hot = np.array([r["gram"] for r in often], np.int64).view(np.uint64)
     order = np.argsort(hot)
     # The most frequent shingle has the highest rank, and so comes last of all.
-    shared = spark.sparkContext.broadcast((hot[order], (len(hot) - order).astype(np.int32)))
+    ranks = spark.sparkContext.broadcast((hot[order], (len(hot) - order).astype(np.int32)))
 
-    entries = classes.agg(F.sum(F.col("n") * (100 - percent) / 100 + 1)).first()[0] or 0
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(least, int(entries // block_entries) + 1)
-    dealt = source.mapInArrow(
-        _deal(width, percent, blocks, shared), "block long, columns binary, nodes binary, sizes binary"
-    )
+    entries = sets.agg(F.sum(F.col("n") * (100 - percent) / 100 + 1)).first()[0] or 0
+    blocks = int(entries // block_entries) + 1
     counted = stored(
         spark,
-        dealt.groupBy("block").applyInArrow(
-            _count(percent, group), "kind long, a long, b long, na long, nb long, shared long"
-        ),
+        sets.select("node", "grams")
+        .mapInArrow(_deal(percent, blocks, ranks), "block long, columns binary, nodes binary, sizes binary")
+        .groupBy("block")
+        .applyInArrow(_count(percent, group), "kind long, a long, b long, na long, nb long, shared long"),
         "overlap-counts",
     )
     # Beyond their first columns two sets share at most as many as the larger has left.
@@ -344,20 +435,17 @@ def jaccard_join(
     )
     edges = pairs.unionAll(counted.where("kind = 1").select("a", "b"))
 
-    node = classes.where("rep IS NOT NULL").select(F.col("one").alias("node"), "rep", "copies", "n")
-    members = components(spark, edges).select("node", F.col("component").alias("family")).join(node, "node")
+    members = components(spark, edges).select("node", F.col("component").alias("family")).join(
+        able.select("node", "n"), "node"
+    )
     parts = members.groupBy("family").agg(
         F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / grams)).cast("int").alias("parts")
     )
-    members = stored(spark, members.join(parts, "family"), "family-members")
-    sets = source.join(
-        members.select(F.col("rep").alias("doc_id"), "node", "copies", "family", "parts"), "doc_id"
-    ).mapInArrow(_sets(width), "node long, copies long, family long, parts int, grams binary")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    members = stored(spark, members.drop("n").join(parts, "family"), "family-members")
     paired = (
-        sets.dropDuplicates(["node"])
+        sets.join(members, "node")
         .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-        .withColumn("other", other)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .withColumn("i", F.least("part", "other"))
         .withColumn("j", F.greatest("part", "other"))
         .select("family", "i", "j", "part", "node", "copies", "grams")

@@ -43,7 +43,7 @@ def _let(value: Column, use) -> Column:
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...], limit: float, total: float = 1.0) -> DataFrame:
-    """(source, source_size, target) from (source, source_size), one row per source.
+    """Add the target to (source, source_size), one row per source.
 
     ``total`` is the share of all sizes that the mix is to have. The windows hold one row per source.
     """
@@ -70,6 +70,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], limit: float, total: f
             F.when(F.col("open").isNull() | (F.col("place") < F.col("open.place")), F.col("cap"))
             .otherwise(F.col("weight") * F.col("open.level"))
             .alias("target"),
+            *[c for c in sizes.columns if c not in ("source", "source_size")],
         )
     )
 
@@ -180,13 +181,16 @@ def mix(
         ),
         "mix-sizes",
     )
-    sizes = sized.groupBy("key", "source").agg(F.sum("size").alias("source_size"))
+    sizes = sized.groupBy("key", "source").agg(
+        F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("n")
+    )
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(F.col("share") + F.lit(1e-12))
     sources = stored(
         spark,
         targets(sizes.drop("key"), weights, limit, total)
         .withColumn("key", row_key(F.col("source")))
+        .withColumn("buckets", F.ceil(F.col("n") / arity))
         .withColumn("share", share)
         .withColumn("whole", whole)
         .withColumn("p", F.greatest(F.lit(0.0), F.col("share") - F.col("whole"))),
@@ -197,14 +201,13 @@ def mix(
         sized.where("size > 0")
         .groupBy("key", "row")
         .agg((F.first("size") * F.count("*")).cast("double").alias("mass"))
-        .join(sources.where("p > 0").select("key", "p"), "key"),
+        .join(sources.where("p > 0").select("key", "p", "buckets"), "key"),
         "mix-units",
     )
-    counts = units.groupBy("key").agg(F.ceil(F.count("*") / arity).alias("buckets"))
-    level = units.join(counts, "key").select(
+    level = units.select(
         "key", F.pmod(F.xxhash64("row", F.lit(seed)), F.col("buckets")).alias("bucket"), "mass", "row", "p"
     )
-    buckets = counts.agg(F.max("buckets")).first()[0] or 0
+    buckets = sources.where("p > 0").agg(F.max("buckets")).first()[0] or 0
     decisions = []
     depth = 0
     while buckets:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontam, jaccard, langid, lines, mixture, shards, tokens, warc
+from tidegate.llm import decontam, jaccard, kneser, langid, lines, mixture, shards, tokens, warc
 from tidegate.llm.work import table
 from tidegate.session import prepare
 
@@ -179,3 +179,10 @@ FROM p LEFT JOIN f USING (payload_digest)
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's predicted language."""
     return langid.identify(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_perplexity_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's perplexity under a model of the documents labelled good and not toxic."""
+    trusted = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
+    return kneser.quality(spark, table(spark, sf_dir, "documents"), trusted).drop("row")
