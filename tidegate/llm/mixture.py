@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegate.llm.work import row_key, stored
+from tidegate.llm.work import let, row_key, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 _EMPTY = "array<struct<row: long, x: int>>"
@@ -37,11 +37,6 @@ def _uniform(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11) * F.lit(2.0**-53)
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
 def targets(sizes: DataFrame, weights: tuple[float, ...], limit: float, total: float = 1.0) -> DataFrame:
     """Add the target to (source, source_size), one row per source.
 
@@ -99,7 +94,7 @@ def _pivot(acc: Column, unit: Column, seed: int) -> Column:
     first = acc["left"]
     first_has, first_room = first["p"] * first["mass"], (1 - first["p"]) * first["mass"]
     second_has, second_room = unit["p"] * unit["mass"], (1 - unit["p"]) * unit["mass"]
-    return _let(
+    return let(
         F.struct(
             first.alias("first"),
             unit.alias("second"),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontam, jaccard, kneser, langid, lines, mixture, shards, tokens, warc
+from tidegate.llm import decontam, jaccard, kneser, langid, lines, mixture, pseudonyms, shards, tokens, warc
 from tidegate.llm.work import table
 from tidegate.session import prepare
 
@@ -186,3 +186,13 @@ def op8_perplexity_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's perplexity under a model of the documents labelled good and not toxic."""
     trusted = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
     return kneser.quality(spark, table(spark, sf_dir, "documents"), trusted).drop("row")
+
+
+#: The key of the tests and queries; a user passes a secret one.
+PSEUDONYM_KEY = "not a secret"
+
+
+@query
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with pseudonyms, and counts of what was replaced."""
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)

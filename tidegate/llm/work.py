@@ -20,5 +20,10 @@ def row_key(*columns: Column) -> Column:
     return F.xxhash64(*[x for c in columns for x in (c.isNull(), c)])
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
