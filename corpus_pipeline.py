@@ -14,9 +14,14 @@ from tidegate.llm.work import row_key, stored, table
 from tidegate.session import prepare
 
 
+#: Names that no table has.
+_KEY, _COPIES, _COPY = (f"_tidegate_{x}_" for x in ("key", "copies", "copy"))
+
+
 def _without(docs: DataFrame, key, rejected: DataFrame) -> DataFrame:
     """Rows whose key is not among the rejected ``row`` keys; keys are never null."""
-    return docs.join(rejected.select("row").distinct(), key == F.col("row"), "left_anti")
+    rows = rejected.select(F.col("row").alias(_KEY)).distinct()
+    return docs.join(rows, key == F.col(_KEY), "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +37,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without an id all stay, as nothing can be told of them.
     """
     joined = jaccard.jaccard_join(prepare(spark), docs)
-    dropped = stored(spark, joined.where("component_id <> doc_id").select("doc_id"), "copies")
-    again = stored(spark, docs.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1"), "repeated")
-    left = docs.join(dropped.distinct(), "doc_id", "left_anti")
+    dropped = stored(spark, joined.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
+    ids = docs.select("doc_id").where("doc_id IS NOT NULL")
+    again = stored(spark, ids.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    left = docs.join(dropped, "doc_id", "left_anti")
     once = left.join(again, "doc_id", "left_anti")
     first = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(first).select(*docs.columns)
@@ -49,12 +55,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     mixed = mixture.mix(prepare(spark), docs)
-    copies = mixed.groupBy(F.col("row").alias("_row")).agg(F.first("copies").alias("_copies")).where("_copies > 0")
+    copies = (
+        mixed.groupBy(F.col("row").alias(_KEY)).agg(F.first("copies").alias(_COPIES)).where(F.col(_COPIES) > 0)
+    )
     key = row_key(docs["doc_id"], docs["source"], docs["text"])
     return (
-        docs.withColumn("_key", key)
-        .join(copies, F.col("_key") == F.col("_row"))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+        docs.join(copies, key == F.col(_KEY))
+        .withColumn(_COPY, F.explode(F.sequence(F.lit(1).cast("long"), F.col(_COPIES))))
         .select(*docs.columns)
     )
 
