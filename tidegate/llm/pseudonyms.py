@@ -47,7 +47,10 @@ _PHONE = (
     rf"|\+[0-9]{{1,3}}(?:[ .-]?[0-9]{{2,4}}){{2,5}}){_E}"
 )
 _IBAN = rf"{_B}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_E}"
-_CARD = rf"{_B}[0-9](?:[ -]?[0-9]){{12,18}}{_E}"
+_CARD = (  # no longer than one number, so that one beside it is not taken in
+    rf"{_B}(?:[0-9]{{13,19}}|(?:[0-9]{{4}} ){{3}}[0-9]{{4}}|(?:[0-9]{{4}}-){{3}}[0-9]{{4}}"
+    rf"|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{5}}){_E}"
+)
 _SECRET = rf"{_B}(?:AKIA[0-9A-Z]{{16}}|(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{{16,}}){_E}"
 PATTERN = "|".join([_EMAIL, _IP, _DATE, _SSN, _PHONE, _IBAN, _CARD, _SECRET])
 
