@@ -215,6 +215,8 @@ class Shard:
 def _shards(spark: SparkSession, model: DataFrame, order: int, shard_rows: int) -> Iterator[Shard]:
     """The shards, one at a time in the driver; each is made by its key and has about ``shard_rows`` rows."""
     rows = model.count()
+    if not rows:
+        return
     unseen = model.where("gram = ''").first()["logp"]
     shards = -(-rows // shard_rows)
 
@@ -298,6 +300,8 @@ def perplexities(
         sent = spark.sparkContext.broadcast(shard)
         parts.append(stored(spark, source.mapInArrow(_score(sent), schema), "scores"))
         sent.destroy()
+    if not parts:  # there is no model
+        return source.select("doc_id", "lang", "row", F.lit(0).cast("long").alias("n_symbols"), F.lit(0.0).alias("logp"))
     if len(parts) == 1:
         return parts[0]
     # A row that is there m times has m equal parts in each shard, so its sums are m times too large.
