@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from fractions import Fraction
 from pathlib import Path
 
 from tidegate import schemas as S
@@ -72,46 +73,61 @@ def put(folder: Path, dataset, date, lines=None, ok=None):
 
 # The review day: client -> (type, pep, high risk, kyc, score, country).
 REVIEW_CLIENTS = {
-    9501: (" private ", 0, 0, " pass ", 120, " pl "),
-    9502: ("PRIVATE", 1, 0, "PASS", 340, "PL"),
-    9503: ("PRIVATE", 0, 1, " review ", 780, "PL"),
-    9504: (" business ", 0, 0, "PASS", 260, " de "),
-    9505: ("PRIVATE", 0, 1, "PASS", 410, "FR"),
-    9506: ("BUSINESS", 0, 1, "REVIEW", 910, "PL"),
-    9507: ("PRIVATE", 0, 0, "PASS", 150, "PL"),
-    9508: ("PRIVATE", 0, 1, "LIMITED", 640, "LT"),
-    9509: ("BUSINESS", 0, 0, "PASS", 250, "DE"),
-    9510: ("PRIVATE", 0, 0, "PASS", 90, "PL"),
+    11: (" private ", 0, 0, " pass ", 35, " pl "),
+    12: ("BUSINESS", 1, 0, "PASS", 520, "DE"),
+    13: ("PRIVATE", 0, 1, " manual_check ", 655, "PL"),
+    14: (" business ", 0, 0, "PENDING", 305, " fr "),
+    15: ("BUSINESS", 0, 1, "LIMITED", 935, "LT"),
+    16: ("PRIVATE", 0, 1, "PENDING", 470, "PL"),
+    17: ("PRIVATE", 0, 0, "REVIEW", 900, "DE"),
+    18: ("BUSINESS", 0, 0, "PASS", 15, "PL"),
+    19: ("PRIVATE", 0, 1, "REVIEW", 120, "FR"),
+    20: ("PRIVATE", 0, 0, "PASS", 899, "PL"),
 }
-# transfer -> (client, amount, currency, expected rate, EUR, reason code, type, details)
-_BOTH, _ONLY72, _SUSP = "ART72_AND_ART74", "ART72_THRESHOLD", "ART74_SUSPICION"
-_KYC = "ART74_HIGH_RISK_KYC"
-REVIEW_TRANSFERS = {
-    500101: (9501, "450.00", " EUR ", "1", "450.00", None, None, None),
-    500102: (9501, "980.00", "PLN", "0.23228804", "227.64", None, None, None),
-    500103: (9502, "300.00", "EUR", "1", "300.00", "ART74_PEP", _SUSP, "pep_flag=1"),
-    500104: (9505, "850.00", "EUR", "1", "850.00", None, None, None),
-    500105: (9507, "1250.00", "EUR", "1", "1250.00", None, None, None),
-    500106: (9504, "3500.00", "GBP", "1.16608595", "4081.30", None, None, None),
-    500107: (9509, "18000.00", "EUR", "1", "18000.00", _ONLY72, _ONLY72, "amount_eur=18000.00 > 15000"),
-    500108: (9510, "20000.00", "USD", "0.92102207", "18420.44", _ONLY72, _ONLY72, "amount_eur=18420.44 > 15000"),
-    500109: (9504, "900000.00", "CZK", "0.04006969", "36062.72", _ONLY72, _ONLY72, "amount_eur=36062.72 > 15000"),
-    500110: (9503, "4200.00", "USD", "0.92102207", "3868.29", _KYC, _SUSP, "high_risk_flag=1; kyc_status=REVIEW"),
-    500111: (9508, "7000.00", "PLN", "0.23228804", "1626.02", _KYC, _SUSP, "high_risk_flag=1; kyc_status=LIMITED"),
-    500112: (9506, "6500.00", "EUR", "1", "6500.00", _KYC, _SUSP,
-             "high_risk_flag=1; kyc_status=REVIEW; risk_score=910 >= 900"),
-    500113: (9506, "25000.00", "GBP", "1.16608595", "29152.15", _BOTH, _BOTH,
-             "amount_eur=29152.15 > 15000; high_risk_flag=1; kyc_status=REVIEW; risk_score=910 >= 900"),
-    500114: (9508, "120000.00", "PLN", "0.23228804", "27874.56", _BOTH, _BOTH,
-             "amount_eur=27874.56 > 15000; high_risk_flag=1; kyc_status=LIMITED"),
-    500115: (9502, "1400.00", "USD", "0.92102207", "1289.43", "ART74_PEP", _SUSP, "pep_flag=1"),
-    500116: (9503, "950.00", "EUR", "1", "950.00", _KYC, _SUSP, "high_risk_flag=1; kyc_status=REVIEW"),
-    500117: (9501, "220.00", "USD", "0.92102207", "202.62", None, None, None),
-    500118: (9505, "150.00", "EUR", "1", "150.00", None, None, None),
-    500119: (9509, "8200.00", "EUR", "1", "8200.00", None, None, None),
-    500120: (9507, "2500.00", "CZK", "0.04006969", "100.17", None, None, None),
+REVIEW_RATES = [("EUR", 1, "4.2618"), ("USD", 1, "3.7431"), ("GBP", 1, "5.1094"), ("PLN", 1, "1"), ("CZK", 10, "1.7452")]
+_OVER, _PEP, _KYC, _SCORE = "over", "pep_flag=1", "high_risk_flag=1; kyc_status=", "risk_score="
+# transfer -> (client, amount, currency, reason code, what the details tell)
+_REVIEWED = {
+    7001: (11, "812.40", " eur ", None),
+    7003: (18, "64210.00", "PLN", "ART72_THRESHOLD", _OVER),
+    7004: (12, "55.10", "GBP", "ART74_PEP", _PEP),
+    7008: (16, "14999.99", "EUR", None),
+    7010: (14, "17100.00", "USD", "ART72_THRESHOLD", _OVER),
+    7011: (13, "310.00", "CZK", "ART74_HIGH_RISK_KYC", _KYC + "MANUAL_CHECK"),
+    7015: (15, "99.99", "USD", "ART74_HIGH_RISK_KYC", _KYC + "LIMITED", _SCORE + "935 >= 900"),
+    7016: (15, "13000.00", "GBP", "ART72_AND_ART74", _OVER, _KYC + "LIMITED", _SCORE + "935 >= 900"),
+    7020: (17, "420.00", "EUR", "ART74_RISK_SCORE", _SCORE + "900 >= 900"),
+    7021: (17, "366320.00", "CZK", "ART72_AND_ART74", _OVER, _SCORE + "900 >= 900"),
+    7022: (18, "15000.00", "EUR", None),
+    7025: (20, "2400.75", "USD", None),
+    7026: (19, "5000.00", "PLN", "ART74_HIGH_RISK_KYC", _KYC + "REVIEW"),
+    7030: (14, "3.33", "GBP", None),
+    7031: (11, "63927.00", "PLN", None),  # exactly 15,000 EUR
+    7040: (12, "16000.00", "EUR", "ART72_AND_ART74", _OVER, _PEP),
+    7041: (20, "1.00", "CZK", None),
+    7050: (16, "980.25", "GBP", None),
+    7051: (19, "21000.00", "GBP", "ART72_AND_ART74", _OVER, _KYC + "REVIEW"),
+    7060: (18, "700.00", "USD", None),
 }
-REVIEW_RATES = [("EUR", 1, "4.305"), ("USD", 1, "3.965"), ("GBP", 1, "5.02"), ("PLN", 1, "1"), ("CZK", 10, "1.725")]
+
+
+def _half_up(value: Fraction, places: int) -> str:
+    units = (value * 10**places * 2 + 1) // 2
+    return f"{units // 10**places}.{units % 10**places:0{places}d}"
+
+
+def _reviewed():
+    """transfer -> (client, amount, currency, expected rate, EUR, reason code, type, details)"""
+    pln = {code: Fraction(mid) / units for code, units, mid in REVIEW_RATES}
+    for tid, (cid, amount, currency, code, *details) in _REVIEWED.items():
+        rate = pln[currency.strip().upper()] / pln["EUR"]
+        eur = _half_up(Fraction(amount) * rate, 2)
+        told = "; ".join(f"amount_eur={eur} > 15000" if d == _OVER else d for d in details)
+        kind = code if code is None or code.startswith("ART72") else "ART74_SUSPICION"
+        yield tid, (cid, amount, currency, _half_up(rate, 8), eur, code, kind, told or None)
+
+
+REVIEW_TRANSFERS = dict(_reviewed())
 
 
 def write_all(folder: Path) -> None:
@@ -121,71 +137,71 @@ def write_all(folder: Path) -> None:
     put(folder, t, d24, ok=13)
 
     put(folder, c, d25, ok=9, lines=[
-        client(d25, 6101),
-        client(d25, 6102, "BUSINESS"),
-        client(d25, "BAD_ID"),
-        client(d25, 6104, date_of_birth=""),
-        client(d25, 6105, "BUSINESS", registration_no=""),
-        client(d25, 6106, client_status="ARCHIVED"),
-        client(d25, 6111),
-        client(d25, 6112, "BUSINESS"),
-        client(d25, 6113, client_status="SUSPENDED"),
+        client(d25, 31),
+        client(d25, 36, client_status="PAUSED"),
+        client(d25, 32, "BUSINESS"),
+        client(d25, 37, "BUSINESS", company_name=""),
+        client(d25, 33),
+        client(d25, "no-id"),
+        client(d25, 34, "BUSINESS"),
+        client(d25, 38, last_name=""),
+        client(d25, 35, client_status="ARCHIVED"),
     ])
     put(folder, t, d25, ok=12, lines=[
-        transfer(d25, 200001, 6101),
-        transfer(d25, 200002, 6102),
-        transfer(d25, "BAD_ID", 6103),
-        transfer(d25, 200004, 6104, "NOT_A_NUMBER"),
-        transfer(d25, 200005, 6105, currency="EURO"),
-        transfer(d25, 200006, 6106, transfer_ts="2026/03/26 10:15:00"),
-        transfer(d25, 200007, 6107, "-12.50"),
-        transfer(d25, 200008, 6108, transfer_status="UNKNOWN"),
-        transfer(d25, 200009, 6109, channel="KIOSK"),
-        transfer(d25, 200010, 6110, country_code="POL"),
-        transfer(d25, 200011, 6111, transfer_status="REJECTED"),
-        transfer(d25, 200012, 6112, transfer_status="FAILED"),
+        transfer(d25, 801, 31),
+        transfer(d25, 802, 31, "12,5"),
+        transfer(d25, 803, 32),
+        transfer(d25, 804, 32, transfer_status="LOST"),
+        transfer(d25, 805, 33, currency="eu"),
+        transfer(d25, 806, 33, transfer_status="PENDING"),
+        transfer(d25, "T-1", 34),
+        transfer(d25, 808, 34, country_code="P1"),
+        transfer(d25, 809, 34, transfer_ts="2026/3/25 9:5:0"),
+        transfer(d25, 810, 35, "-0.01"),
+        transfer(d25, 811, 35, channel="FAX"),
+        transfer(d25, 812, 35, transfer_status="FAILED"),
     ])
 
     put(folder, c, d26, ok=12, lines=[
-        client(d26, 5000 + i, "BUSINESS" if i % 3 == 0 else "PRIVATE") for i in range(12)
+        client(d26, 600 + 7 * i, "PRIVATE" if i % 4 else "BUSINESS") for i in range(12)
     ])
     put(folder, t, d26, ok=20, lines=[
-        transfer(d26, 100001 + i, 5000 + i % 12, f"{100 + i}.{i:02d}") for i in range(20)
+        transfer(d26, 90_000 + 3 * i, 600 + 7 * (5 * i % 12), f"{40 + 3 * i}.{7 * i % 100:02d}") for i in range(20)
     ])
 
-    put(folder, c, d27, ok=3, lines=[client(d27, 6201), client(d27, 6202, "BUSINESS")])
-    put(folder, t, d27, ok=20, lines=[transfer(d27, 200001, 6101), transfer(d27, 200002, 6102)])
+    put(folder, c, d27, ok=3, lines=[client(d27, 71, "BUSINESS"), client(d27, 72)])
+    put(folder, t, d27, ok=20, lines=[transfer(d27, 910, 71), transfer(d27, 911, 72)])
 
-    put(folder, c, d28, ok=2, lines=[client(d28, 7101), client(d28, 7102, "BUSINESS")])
-    put(folder, t, d28, ok=2, lines=[transfer(d28, 300001, 7101), transfer(d28, 300001, 7102)])
-    put(folder, c, d29, ok=2, lines=[client(d29, 7301), client(d29, 7301, full_name="Twin")])
+    put(folder, c, d28, ok=2, lines=[client(d28, 81), client(d28, 82)])
+    put(folder, t, d28, ok=2, lines=[transfer(d28, 920, 82), transfer(d28, 920, 81)])
+    put(folder, c, d29, ok=2, lines=[client(d29, 91, full_name="One"), client(d29, 91, full_name="Other")])
 
     d7, d8, d9, d10, d11, d12, d15 = (APR[d] for d in (7, 8, 9, 10, 11, 12, 15))
     for day in (d7, d8):
-        put(folder, c, day, lines=[client(day, 8801)])
-        put(folder, t, day, lines=[transfer(day, 400801, 8801)])
+        put(folder, c, day, lines=[client(day, 55)])
+        put(folder, t, day, lines=[transfer(day, 930, 55)])
 
     put(folder, c, d9, ok=10, lines=[
-        client(d9, 8401, " private ", country_code=" pl ", client_status=" active ", kyc_status=" review ", risk_score=0),
-        client(d9, 8402, " business ", country_code=" de ", client_status=" archived ", kyc_status=" pending ", risk_score=999),
-        client(d9, 8403, risk_score=1000),
-        client(d9, 8404, risk_score="NOT_A_NUMBER"),
-        client(d9, 8405, kyc_status="A_STATUS_OF_MORE_THAN_THIRTY_CHARS"),
-        client(d9, 8406, client_status="BLOCKED"),
-        client(d9, 8401, risk_score="NOT_A_NUMBER"),
-        client(d9, 8407, email="no-at-sign.example.invalid"),
-        client(d9, 8408, phone_number="0048123456789"),
-        client(d9, 8409, kyc_status="ESCALATED"),
+        client(d9, 201, " business ", country_code=" fr ", client_status=" active ", kyc_status=" limited ", risk_score=999),
+        client(d9, 204, email="nobody"),
+        client(d9, 205, risk_score="12x"),
+        client(d9, 202, phone_number="600700800"),
+        client(d9, 206, kyc_status="K" * 31),
+        client(d9, 203, " private ", country_code=" lt ", client_status=" archived ", kyc_status=" manual_check ", risk_score=0),
+        client(d9, 207, risk_score=1001),
+        client(d9, 208, client_status="GONE"),
+        client(d9, 201, risk_score="high"),
+        client(d9, 209, kyc_status="UNSURE"),
     ])
-    put(folder, c, d10, ok=2, lines=[client(d10, 9101), client(d10, 9102, "BUSINESS")])
+    put(folder, c, d10, ok=2, lines=[client(d10, 301, "BUSINESS"), client(d10, 302)])
     put(folder, t, d10, ok=2, lines=[
-        transfer(d10, 400101, 9101, currency=" eur ", transfer_status=" completed ", channel=" mobile ", country_code=" pl "),
-        transfer(d10, 400102, 9102, currency=" gbp ", transfer_status=" pending ", channel=" web ", country_code=" de "),
+        transfer(d10, 940, 302, currency=" pln ", transfer_status=" failed ", channel=" branch ", country_code=" fr "),
+        transfer(d10, 941, 301, currency=" usd ", transfer_status=" rejected ", channel=" api ", country_code=" lt "),
     ])
-    put(folder, t, d11, ok=1, lines=[transfer(d11, 410001, 9201)])
+    put(folder, t, d11, ok=1, lines=[transfer(d11, 950, 311)])
     put(folder, t, d12, ok=2, lines=[
-        transfer(d12, 400201, 9201, country_code="POL"),
-        transfer(d12, 400202, 9202, currency="USD", country_code="ZZ"),
+        transfer(d12, 961, 312, currency="GBP", country_code="QQ"),
+        transfer(d12, 960, 311, country_code="1F"),
     ])
 
     put(folder, c, d15, ok=10, lines=[
@@ -200,6 +216,7 @@ def write_all(folder: Path) -> None:
     ])
 
 
+# The outcomes each kind of snapshot must have.
 # (process, date, error code, status, reason, promised, stage, reject, core)
 MATRIX = [
     ("clients", MAR[0], -20114, "FAILED", "MISSING_DATA_FILE", 4, 0, 0, 0),

@@ -104,21 +104,21 @@ def test_reject_reasons(spark, warehouse, outcomes):
         return {r.source_row_num: r.reject_reason for r in rows}
 
     assert reasons(S.TRANSFERS, X.MAR[1]) == {
-        4: "invalid transfer_id", 5: "invalid amount", 6: "invalid currency_code format",
-        8: "negative amount", 9: "invalid transfer_status", 10: "invalid channel",
-        11: "invalid country_code format",
+        3: "invalid amount", 5: "invalid transfer_status", 6: "invalid currency_code format",
+        8: "invalid transfer_id", 9: "invalid country_code format", 11: "negative amount",
+        12: "invalid channel",
     }
     assert reasons(S.CLIENTS, X.MAR[1]) == {
-        4: "invalid client_id", 5: "invalid date_of_birth for PRIVATE",
-        6: "missing registration_no for BUSINESS", 10: "invalid client_status",
+        3: "invalid client_status", 5: "missing company_name for BUSINESS",
+        7: "invalid client_id", 9: "missing last_name for PRIVATE",
     }
     assert reasons(S.CLIENTS, X.APR[9]) == {
-        4: "risk_score must be between 0 and 999", 5: "invalid risk_score",
-        6: "kyc_status too long", 7: "invalid client_status", 8: "invalid risk_score",
-        9: "invalid email format", 10: "invalid phone_number format", 11: "unsupported kyc_status",
+        3: "invalid email format", 4: "invalid risk_score", 5: "invalid phone_number format",
+        6: "kyc_status too long", 8: "risk_score must be between 0 and 999",
+        9: "invalid client_status", 10: "invalid risk_score", 11: "unsupported kyc_status",
     }
     assert reasons(S.TRANSFERS, X.APR[12]) == {
-        2: "invalid country_code format", 3: "unsupported country_code",
+        2: "unsupported country_code", 3: "invalid country_code format",
     }
     assert set(reasons(S.TRANSFERS, X.MAR[4]).values()) == {"duplicate transfer_id in snapshot"}
     assert set(reasons(S.CLIENTS, X.MAR[5]).values()) == {"duplicate client_id in snapshot"}
@@ -128,8 +128,8 @@ def test_codes_are_normalised(spark, warehouse, outcomes):
     stage = read_table(spark, warehouse.stage(S.CLIENTS), S.stage_schema(S.CLIENTS))
     rows = stage.filter(F.col("business_date") == F.lit(X.APR[9])).orderBy("source_row_num").collect()
     assert [(r.source_row_num, r.client_type, r.country_code, r.kyc_status, r.risk_score, r.client_status) for r in rows] == [
-        (2, "PRIVATE", "PL", "REVIEW", 0, "ACTIVE"),
-        (3, "BUSINESS", "DE", "PENDING", 999, "ARCHIVED"),
+        (2, "BUSINESS", "FR", "LIMITED", 999, "ACTIVE"),
+        (7, "PRIVATE", "LT", "MANUAL_CHECK", 0, "ARCHIVED"),
     ]
 
 

@@ -104,11 +104,11 @@ def test_spool_and_report_file(spark, day):
     spool = spark.read.parquet(w.spool).select(*schema)
     rows = {r.transfer_id: r for r in spool.collect()}
     assert sorted(rows) == REPORTED and len(rows) == 11
-    assert rows[500107].report_due_date == DAY + dt.timedelta(days=7)
-    assert rows[500103].report_due_date == DAY + dt.timedelta(days=2)
-    assert rows[500113].report_due_date == DAY + dt.timedelta(days=2)
-    assert rows[500113].report_id == "AML-20260415-500113"
-    assert (rows[500113].registration_no, rows[500113].city) == ("REG-9506", "Testville")
+    assert rows[7003].report_due_date == DAY + dt.timedelta(days=7)
+    assert rows[7004].report_due_date == DAY + dt.timedelta(days=2)
+    assert rows[7016].report_due_date == DAY + dt.timedelta(days=2)
+    assert rows[7016].report_id == "AML-20260415-7016"
+    assert (rows[7016].registration_no, rows[7016].city) == ("REG-15", "Testville")
     assert check_not_null(spool, S.SPOOL_NOT_NULL).filter("violations > 0").count() == 0
     assert check_expr(spool, S.SPOOL_CHECKS).filter("violations > 0").count() == 0
 
@@ -117,10 +117,11 @@ def test_spool_and_report_file(spark, day):
     assert lines[0] == ";".join(S.REPORT_COLUMNS)
     ids = [line.split(";")[2].strip('"') for line in lines[1:]]
     assert ids == [f"AML-20260415-{t}" for t in REPORTED]
-    first = lines[1].split(";")
-    assert first[1] == '"2026-04-15"' and first[3] == '"ART74_SUSPICION"'
-    assert first[21:25] == ['"300.00"', '"EUR"', '"300.00"', '"2026-04-15 10:15:00"']
-    assert first[11] == '""'  # no registration number
+    first, private = lines[1].split(";"), lines[4].split(";")
+    assert first[1] == '"2026-04-15"' and first[3] == '"ART72_THRESHOLD"'
+    eur = X.REVIEW_TRANSFERS[7003][4]
+    assert first[21:25] == ['"64210.00"', '"PLN"', f'"{eur}"', '"2026-04-15 10:15:00"']
+    assert first[11] == '"REG-18"' and private[11] == '""'  # no registration number
     with open(outbound.report_file(w.outbound, DAY, "ok")) as f:
         assert f.read() == "11\n"
 
@@ -136,7 +137,7 @@ def test_named_checks(spark, day):
     result = run_checks([
         (mart, [
             Check("MART_ROW_COUNT", F.count("*") == 20, "20 rows"),
-            Check("MART_USD", one("transfer_id = 500108 AND amount_eur = 18420.44"), "USD amount"),
+            Check("MART_USD", one(f"transfer_id = 7010 AND amount_eur = {X.REVIEW_TRANSFERS[7010][4]}"), "USD amount"),
             Check("MART_WRONG", one("transfer_id = 1"), "fails on purpose"),
         ]),
         (fx, [Check("FX_ROW_COUNT", F.count("*") == 5, "5 rates")]),
