@@ -1,6 +1,7 @@
 """Column functions, against plain Python where that is the clearer statement."""
 
 import datetime as dt
+import random
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
@@ -28,7 +29,7 @@ def test_blank_text_is_missing(spark):
 def test_numbers(spark):
     texts = ["12", "-1.5", "1.25E3", ".5", "5.", "1e400", "12d", "", "1 2", "NaN", "٣", None, "+7"]
     got = apply(spark, texts, fn.parse_number)
-    want = ["12", "-1.5", "1250", "0.5", "5", None, None, None, None, None, None, None, "7"]
+    want = ["12", "-1.5", "1250", "0.5", "5", "9" * 28, None, None, None, None, None, None, "7"]
     assert got == [None if w is None else Decimal(w) for w in want]
 
 
@@ -40,11 +41,53 @@ def test_stored_numbers_round_half_up_and_may_not_fit(spark):
         Decimal("0.01"), Decimal("1.00"), Decimal("-0.01"), None,
     ]
     assert apply(spark, ["899.5", "10"], lambda x: fn.to_number(fn.parse_number(x), 4, 0)) == [900, 10]
-    assert apply(spark, ["1e12", "999999999999.99", None], lambda x: fn.fits(fn.parse_number(x), 14, 2)) == [
-        False, True, True,
+    texts = ["1e12", "999999999999.99", None, "1e40", "-" + "7" * 30, "1e999999999999", "1e-999999999999"]
+    assert apply(spark, texts, lambda x: fn.fits(fn.parse_number(x), 14, 2)) == [
+        False, True, True, False, False, False, True,
     ]
 
 
+def some_number(draw):
+    digits = lambda n: "".join(draw.choices("0123456789", k=draw.randint(0, n)))
+    tail = draw.choice(["", ".", ".00", ".0049999999999999", ".005", ".00500000000000000001", ".999999999999"])
+    power = draw.choice(["", "", "e3", "E-5", "e+0", "e-30", "E12"])
+    return draw.choice(["", "-", "+"]) + digits(22) + (tail + digits(6) if tail else "") + power
+
+
+def test_numbers_are_exact(spark):
+    """Signs, comparisons, rounding and equality are those of the exact numbers, however many digits they have."""
+    draw = random.Random(1)
+    texts = sorted({some_number(draw) for _ in range(400)} | {
+        "0.00499999999999", "15000.00499999999999", "-0.00000000001", "1.00000000001", "1.00000000002", "1", "1.0",
+        "01.00e0", "10E-1", "-0", "0e9", "12345678901234567890.5", "0.0000000004", "1e-10", "1e-11",
+    })
+
+    def exact(t):
+        try:
+            return Decimal(t) if any(c.isdigit() for c in t.lower().split("e")[0]) else None
+        except ArithmeticError:
+            return None
+
+    df = spark.createDataFrame([(t,) for t in texts], "x string").withColumn("p", fn.parse_number("x"))
+    rows = df.select(
+        "x", (F.col("p") < 0).alias("negative"), fn.in_range("p", 0, 999).alias("inside"),
+        fn.to_number("p", 14, 2).alias("money"), fn.fits("p", 14, 2).alias("fits"), "p",
+        fn.number_rest("x").alias("rest"),
+    ).collect()
+    same = {}
+    for r in rows:
+        value = exact(r.x)
+        if value is None:
+            assert r.p is None
+            continue
+        cents = value.quantize(Decimal("0.01"), ROUND_HALF_UP) if value.adjusted() < 25 else value
+        fits = abs(cents) < 10**12
+        assert (r.negative, r.inside, r.fits) == (value < 0, 0 <= value <= 999, fits), r.x
+        assert r.money == (cents if fits else None), r.x
+        assert same.setdefault((r.p, r.rest), value) == value, r.x
+    assert len(same) == len(set(same.values()))
+
+
 @pytest.mark.parametrize("text,want", [
     ("2026-03-26 10:15:00", dt.datetime(2026, 3, 26, 10, 15)),
     ("2026/03/26 10:15:00", dt.datetime(2026, 3, 26, 10, 15)),
@@ -119,7 +162,7 @@ mids = st.decimals(Decimal("0.00000001"), Decimal("999.99999999"), places=8)
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(amounts, mids, st.sampled_from([1, 10, 100])), min_size=30, max_size=30))
 def test_eur_amounts_are_exact(spark, rows):
-    day, eur = dt.date(2026, 4, 15), Decimal("4.305")
+    day, eur = dt.date(2026, 4, 15), Decimal("4.2618")
     codes = [f"C{i:02d}" for i in range(len(rows))]
     fx = reference.fx_rates(
         spark, [(day, "EUR", 1, eur)] + [(day, c, u, m) for c, (_, m, u) in zip(codes, rows)]

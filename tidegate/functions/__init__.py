@@ -15,6 +15,7 @@ from tidegate.functions.numbers import (
     fmt_amount,
     in_range,
     nvl,
+    number_rest,
     parse_number,
     ratio_half_up,
     round_half_up,
@@ -49,6 +50,7 @@ __all__ = [
     "norm_code",
     "norm_text",
     "nvl",
+    "number_rest",
     "parse_number",
     "ratio_half_up",
     "report_id",

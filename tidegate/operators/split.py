@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate import schemas as S
-from tidegate.functions import fits, max_len, to_number
+from tidegate.functions import fits, max_len, number_rest, to_number
 from tidegate.operators import rules as R
 from tidegate.operators.joins import flag_supported
 from tidegate.schemas import Dataset, Field
@@ -61,14 +61,14 @@ def _with_reason(rows: DataFrame, rules: list[R.Rule]) -> DataFrame:
 
 
 def duplicate_keys(judged: DataFrame, dataset: Dataset) -> DataFrame:
-    """(business_date, key, key_rows) of keys that more than one valid row carries.
+    """(business_date, key, key_rest, key_rows) of keys that more than one valid row carries.
 
-    Keys are compared before rounding to the stored type.
+    Keys are compared as exact numbers, before rounding to the stored type.
     """
-    key = dataset.field(dataset.key).parsed
+    key = dataset.field(dataset.key)
     return (
         judged.filter(F.col("reject_reason").isNull())
-        .groupBy("business_date", key)
+        .groupBy("business_date", key.parsed, number_rest(key.raw).alias("key_rest"))
         .agg(F.count("*").alias("key_rows"))
         .filter("key_rows > 1")
     )
@@ -78,17 +78,18 @@ def split_judged(
     judged: DataFrame, dataset: Dataset, duplicates: DataFrame | None = None
 ) -> Split:
     """Split judged rows; ``duplicates`` may be passed in when already computed."""
-    key = dataset.field(dataset.key).parsed
+    key, key_raw = dataset.field(dataset.key).parsed, dataset.field(dataset.key).raw
     if duplicates is None:
         duplicates = duplicate_keys(judged, dataset)
     # Null-safe, because a plain equality would also filter the keys for NULL below the
     # judging, where their parsers would run a second time.
     on = F.col("business_date").eqNullSafe(F.col("repeated_date")) & F.col(key).eqNullSafe(
         F.col("repeated_key")
-    )
+    ) & number_rest(key_raw).eqNullSafe(F.col("repeated_rest"))
     duplicates = duplicates.select(
         F.col("business_date").alias("repeated_date"),
         F.col(key).alias("repeated_key"),
+        F.col("key_rest").alias("repeated_rest"),
         F.lit(1).alias("is_repeated"),
     )
     accepted = judged.filter(F.col("reject_reason").isNull()).join(duplicates, on, "left_anti")

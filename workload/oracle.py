@@ -51,7 +51,7 @@ def _normalised(dataset) -> str:
 
 def _number(c: str) -> str:
     return (
-        f"CASE WHEN regexp_full_match({c}_raw, '{_NUMBER}') THEN TRY_CAST({c}_raw AS DECIMAL(38,10)) END"
+        f"CASE WHEN regexp_full_match({c}_raw, '{_NUMBER}') THEN TRY_CAST({c}_raw AS DECIMAL(38,20)) END"
         f" AS {c}_parsed"
     )
 

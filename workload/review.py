@@ -119,7 +119,7 @@ def mart_summary(spark, sf_dir):
 
 def april_rates(spark):
     """The last quarter's rates quoted on each inbound date."""
-    last = [(c, u, m) for d, c, u, m in shapes.RATES if d == shapes.QUARTERS[-1]]
+    last = [(c, u, m) for d, c, u, m in shapes.RATES if d == shapes.RATE_DAY]
     return reference.fx_rates(spark, [(d, c, u, m) for d in shapes.DATES for c, u, m in last])
 
 

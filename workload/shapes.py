@@ -25,7 +25,9 @@ from tidegate.sources import reference
 
 FIRST_DAY = 13  # of April 2026
 DATES = [dt.date(2026, 4, FIRST_DAY + i) for i in range(7)]
-QUARTERS = [dt.date(y, m, 1) for y in range(1995, 2002) for m in (1, 4, 7, 10)][:27]
+#: Quarters that have rates; those of the clients come from the orders.
+QUARTERS = [dt.date(y, m, 1) for y in range(1990, 2030) for m in (1, 4, 7, 10)]
+RATE_DAY = dt.date(2001, 7, 1)  # whose rates the days of April 2026 take
 
 INBOUND_TRANSFERS = """
 SELECT
@@ -33,6 +35,7 @@ SELECT
   concat('client_transfers_202604', 13 + client_id % 7, '.csv') AS source_file_name,
   l_partkey + 2 AS source_row_num,
   CASE s WHEN 0 THEN 'BAD_ID' WHEN 1 THEN concat('  ', transfer_id, ' ')
+    WHEN 37 THEN concat(transfer_id, '.00000000001') WHEN 38 THEN concat(transfer_id, '.00000000000')
     ELSE concat('', transfer_id) END AS transfer_id_raw,
   CASE s WHEN 2 THEN concat('C-', client_id) ELSE concat('', client_id) END AS client_id_raw,
   CASE s WHEN 3 THEN '   ' WHEN 4 THEN repeat('9', 35)
@@ -41,6 +44,8 @@ SELECT
     ELSE concat('DE', lpad(concat('', l_partkey), 20, '0')) END AS target_account_raw,
   CASE s WHEN 7 THEN 'NOT_A_NUMBER' WHEN 8 THEN '-12.50' WHEN 9 THEN '1.25E3'
     WHEN 10 THEN '0.005' WHEN 11 THEN '.5' WHEN 12 THEN '12d' WHEN 33 THEN 'x'
+    WHEN 34 THEN '0.00499999999999' WHEN 35 THEN '15000.00499999999999' WHEN 36 THEN '-0.00000000001'
+    WHEN 39 THEN '15000.00500000000001' WHEN 40 THEN '-0.00000000000' WHEN 41 THEN '12500000000001E-14'
     ELSE concat('', cast(l_extendedprice AS decimal(14,2))) END AS amount_raw,
   CASE s WHEN 13 THEN ' eur ' WHEN 14 THEN 'EURO' WHEN 15 THEN 'XYZ' WHEN 16 THEN NULL
     ELSE substr('EURUSDPLNCZKGBP', cast(1 + 3 * (l_partkey % 5) AS int), 3) END AS currency_code_raw,
@@ -128,9 +133,11 @@ FROM (
 ) x
 """
 
+_QUARTER = "make_date(year(o_orderdate), 3 * quarter(o_orderdate) - 2, 1)"
+
 CURATED_TRANSFERS = """
 SELECT
-  make_date(year(o_orderdate), 3 * quarter(o_orderdate) - 2, 1) AS business_date,
+  {quarter} AS business_date,
   o_orderkey AS transfer_id,
   o_custkey AS client_id,
   concat('PL', lpad(concat('', o_custkey), 24, '0')) AS source_account,
@@ -143,7 +150,7 @@ SELECT
   substr({countries}, cast(1 + 2 * (o_orderkey % 33) AS int), 2) AS country_code,
   CASE WHEN o_orderkey % 3 > 0 THEN concat('Order "', o_orderpriority, '"; ', o_orderkey) END AS transfer_title
 FROM {orders}
-"""
+""".replace("{quarter}", _QUARTER)
 
 CURATED_CLIENTS = """
 SELECT
@@ -190,7 +197,7 @@ _COUNTRIES = "'" + "".join(S.COUNTRIES) + "'"
 
 def _rates():
     """Five currencies per quarter, drifting a little; CZK is quoted per 10."""
-    start = {"EUR": (1, "4.3050"), "USD": (1, "3.9650"), "GBP": (1, "5.0200"), "PLN": (1, "1"), "CZK": (10, "1.7250")}
+    start = {"EUR": (1, "4.1873"), "USD": (1, "3.6219"), "GBP": (1, "5.3127"), "PLN": (1, "1"), "CZK": (10, "1.6941")}
     for i, day in enumerate(QUARTERS):
         for code, (units, mid) in start.items():
             drift = Decimal("0.0007") * i if code != "PLN" else Decimal(0)
@@ -211,13 +218,8 @@ RATES_WITH_GAPS = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, spread over a few tasks if it is too small a file to split.
-
-    Inputs of a few hundred megabytes and more come in enough splits and are left as they are.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    tasks = min(spark.sparkContext.defaultParallelism, 16)
-    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def inbound_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,11 +243,11 @@ def curated_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curated_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, last = QUARTERS[0], QUARTERS[-1]
-    quarters = f"explode(sequence(DATE '{first}', DATE '{last}', INTERVAL 3 MONTH))"
+    quarters = f"explode((SELECT collect_set({_QUARTER}) FROM {{orders}}))"
     return spark.sql(
         CURATED_CLIENTS.replace("{countries}", _COUNTRIES).replace("{quarters}", quarters),
         customer=table(spark, sf_dir, "customer"),
+        orders=table(spark, sf_dir, "orders"),
     )
 
 
@@ -269,8 +271,7 @@ def _rates_sql(rows) -> str:
 
 def duck(text: str) -> str:
     """A shaping text on DuckDB's views."""
-    first, last = QUARTERS[0], QUARTERS[-1]
-    quarters = f"CAST(unnest(generate_series(DATE '{first}', DATE '{last}', INTERVAL 3 MONTH)) AS DATE)"
+    quarters = f"unnest((SELECT list(DISTINCT {_QUARTER}) FROM orders))"
     for name, value in {
         "countries": _COUNTRIES, "quarters": quarters, "lineitem": "lineitem", "orders": "orders",
         "customer": "customer", "supplier": "supplier",
