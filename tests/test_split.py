@@ -155,20 +155,17 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
     try:
         lines = inbound.read_lines(spark, str(tmp_path))
         assert lines.select("source_path", "split_start").distinct().count() > 10
-        for hint in (True, False):
-            rows = inbound.with_source_row_num(lines, broadcast_offsets=hint)
-            wrong = rows.filter(
-                F.when(F.col("value") == "", F.col("source_row_num") % 50 != 0).otherwise(
-                    F.col("value").try_cast("long") != F.col("source_row_num")
-                )
+        rows = inbound.with_source_row_num(lines)
+        wrong = rows.filter(
+            F.when(F.col("value") == "", F.col("source_row_num") % 50 != 0).otherwise(
+                F.col("value").try_cast("long") != F.col("source_row_num")
             )
-            assert wrong.count() == 0
-            counts = rows.groupBy("source_file_name").agg(
-                F.count("*").alias("n"), F.countDistinct("source_row_num").alias("d"), F.max("source_row_num").alias("m")
-            )
-            assert sorted(tuple(r)[1:] for r in counts.collect()) == [(777, 777, 777), (5000, 5000, 5000)]
-        assert inbound.may_broadcast_offsets(spark, spark.createDataFrame([(10**9,)], "length long"))
-        assert not inbound.may_broadcast_offsets(spark, spark.createDataFrame([(10**16,)], "length long"))
+        )
+        assert wrong.count() == 0
+        counts = rows.groupBy("source_file_name").agg(
+            F.count("*").alias("n"), F.countDistinct("source_row_num").alias("d"), F.max("source_row_num").alias("m")
+        )
+        assert sorted(tuple(r)[1:] for r in counts.collect()) == [(777, 777, 777), (5000, 5000, 5000)]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 

@@ -215,11 +215,7 @@ def _judge_files(spark, warehouse, dataset, dates, ref_currency, ref_country, wo
     )
     stored = _store(judged, f"{work}/judged")
     offsets = _store(inbound.split_offsets(stored), f"{work}/offsets")
-    listed = on_dates(inbound.list_files(spark, warehouse.inbound), dates)
-    small = inbound.may_broadcast_offsets(
-        spark, listed.filter((F.col("kind") == "csv") & (F.col("dataset") == dataset.name))
-    )
-    return inbound.with_source_row_num(stored, offsets, small).filter("source_row_num > 1")
+    return inbound.with_source_row_num(stored, offsets).filter("source_row_num > 1")
 
 
 def _store(df, table):

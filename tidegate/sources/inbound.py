@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -18,11 +17,6 @@ from tidegate.sources.local import local_rows
 CSV_OPTIONS = {"sep": ";", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 _DATED_NAME = r"\A(.+)_([0-9]{8})\.(csv|ok)\z"
 
-#: Line counts are kept per input split. Up to this many splits (about 128 TB in
-#: 128 MB splits) they are broadcast, at some 200 bytes each; beyond it the lines
-#: are shuffled to them, one evenly sized group per split.
-BROADCAST_SPLITS = 1_000_000
-
 
 def snapshot_name(dataset: Dataset, date: dt.date, kind: str = "csv") -> str:
     return f"{dataset.name}_{date:%Y%m%d}.{kind}"
@@ -100,17 +94,14 @@ def split_offsets(lines: DataFrame) -> DataFrame:
     )
 
 
-def with_source_row_num(
-    lines: DataFrame, offsets: DataFrame | None = None, broadcast_offsets: bool = False
-) -> DataFrame:
+def with_source_row_num(lines: DataFrame, offsets: DataFrame | None = None) -> DataFrame:
     """Add ``source_row_num``, the physical line number: header 1, first data row 2.
 
     ``lines`` comes from ``read_lines``, possibly narrowed or written out and read
-    back. Without ``offsets`` the lines are scanned once more to count them.
+    back. Without ``offsets`` the lines are scanned once more to count them. Spark
+    chooses the join from the size of the offsets, a row per input split.
     """
     offsets = split_offsets(lines) if offsets is None else offsets
-    if broadcast_offsets:
-        offsets = F.broadcast(offsets)
     return (
         lines.join(offsets, ["source_path", "split_start"])
         .withColumn(
@@ -120,19 +111,6 @@ def with_source_row_num(
     )
 
 
-def may_broadcast_offsets(spark: SparkSession, files: DataFrame) -> bool:
-    """Whether the number of input splits of ``files`` is within ``BROADCAST_SPLITS``."""
-    split_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    splits = files.agg(F.sum(F.ceil(F.col("length") / split_bytes) + 1)).first()[0] or 0
-    return splits <= BROADCAST_SPLITS
-
-
-def _bytes(size: str) -> int:
-    """A Spark size setting such as ``134217728b``, ``128m`` or ``128MB`` in bytes."""
-    number, unit = re.fullmatch(r"([0-9]+)([kmgt]?)b?", size.strip().lower()).groups()
-    return int(number) * 1024 ** " kmgt".index(unit or " ")
-
-
 def parse_lines(lines: DataFrame, dataset: Dataset) -> DataFrame:
     """Split lines into raw text fields; missing trailing fields are NULL.
 
@@ -151,10 +129,7 @@ def read_raw(
 ) -> DataFrame:
     """Raw rows of one or many dated snapshots, with their line numbers."""
     paths = [snapshot_path(inbound, dataset, d) for d in dates]
-    files = list_files(spark, inbound).filter(F.col("file_name").isin([snapshot_name(dataset, d) for d in dates]))
-    numbered = with_source_row_num(
-        read_lines(spark, paths), broadcast_offsets=may_broadcast_offsets(spark, files)
-    )
+    numbered = with_source_row_num(read_lines(spark, paths))
     return parse_lines(numbered.filter("source_row_num > 1"), dataset)
 
 
