@@ -1,8 +1,9 @@
 """Accept / reject split of a raw snapshot.
 
-Each row is judged once, in one projection. Key repeats are then counted among
-the rows that passed, and every row sharing a repeated key is rejected too; an
-invalid twin does not harm a valid row.
+Each row is judged in one projection; a caller who needs more than one output stores
+the judged rows first, as the loads do, so that they are judged once. Key repeats are
+then counted among the rows that passed, and every row sharing a repeated key is
+rejected too; an invalid twin does not harm a valid row.
 
 The count is an aggregate on the two key columns only, so a key that holds a
 third of the file collapses before the shuffle and no task ever holds a group.
@@ -90,15 +91,12 @@ def split_judged(
         F.col("business_date").alias("repeated_date"),
         F.col(key).alias("repeated_key"),
         F.col("key_rest").alias("repeated_rest"),
-        F.lit(1).alias("is_repeated"),
     )
     accepted = judged.filter(F.col("reject_reason").isNull()).join(duplicates, on, "left_anti")
-    # An invalid row that shares a repeated key keeps its own reason.
-    repeated = F.when(F.col("is_repeated") == 1, f"duplicate {dataset.key} in snapshot")
-    refused = (
-        judged.join(duplicates, on, "left")
-        .withColumn("reject_reason", F.coalesce("reject_reason", repeated))
-        .filter(F.col("reject_reason").isNotNull())
+    # An invalid row that shares a repeated key keeps its own reason, and does not move.
+    repeated = judged.filter(F.col("reject_reason").isNull()).join(duplicates, on, "left_semi")
+    refused = judged.filter(F.col("reject_reason").isNotNull()).unionByName(
+        repeated.withColumn("reject_reason", F.lit(f"duplicate {dataset.key} in snapshot"))
     )
     return Split(
         stage=accepted.select(

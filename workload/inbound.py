@@ -19,6 +19,7 @@ from tidegate.functions import (
 from tidegate.operators import aggregates as A
 from tidegate.operators import gates, joins, rules, split
 from tidegate.sources import inbound, reference
+from tidegate.sources.files import work_folder
 from workload import shapes
 from workload.oracle import _in, shown, sql
 from workload.registry import query
@@ -37,6 +38,13 @@ def parsed_clients(spark, sf_dir):
     return rules.parse(rules.normalise(raw, S.CLIENTS), S.CLIENTS)
 
 
+def stored(spark, df, purpose):
+    """A table in the work folder: judged once, however many outputs read it."""
+    path = work_folder(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def judged_transfers(spark, sf_dir):
     return split.judge_transfers(
         shapes.inbound_transfers(spark, sf_dir),
@@ -50,11 +58,11 @@ def judged_clients(spark, sf_dir):
 
 
 def split_transfers(spark, sf_dir):
-    return split.split_judged(judged_transfers(spark, sf_dir), S.TRANSFERS)
+    return split.split_judged(stored(spark, judged_transfers(spark, sf_dir), "judged-transfers"), S.TRANSFERS)
 
 
 def split_clients(spark, sf_dir):
-    return split.split_judged(judged_clients(spark, sf_dir), S.CLIENTS)
+    return split.split_judged(stored(spark, judged_clients(spark, sf_dir), "judged-clients"), S.CLIENTS)
 
 
 @query(sql(shown([*_HEAD, *_RAW_T], "t_norm")))
