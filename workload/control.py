@@ -272,8 +272,11 @@ def layer_counts(spark, sf_dir):
 _COMPARED = """SELECT strftime(business_date, '%Y-%m-%d') AS case_key, ctl_status AS actual_status,
   nullif(trim(concat(
     CASE WHEN ctl_status IS DISTINCT FROM 'WARNING' THEN 'status;' END,
+    CASE WHEN ctl_status IS NULL OR (day(business_date) % 2 = 0) <> (actual_reject_rows > 0) THEN 'reason_code;' END,
     CASE WHEN promised_row_count <> actual_stage_rows + actual_reject_rows THEN 'expected_row_count;' END,
-    CASE WHEN actual_reject_rows <> 0 THEN 'actual_reject_rows;' END), ';'), '') AS mismatch_fields
+    CASE WHEN promised_row_count <> actual_stage_rows THEN 'actual_stage_rows;' END,
+    CASE WHEN actual_reject_rows <> 0 THEN 'actual_reject_rows;' END,
+    CASE WHEN promised_row_count <> actual_stage_rows THEN 'actual_core_rows;' END), ';'), '') AS mismatch_fields
 FROM run_layer_rows"""
 
 
@@ -287,27 +290,30 @@ FROM run_layer_rows"""
     compared=_COMPARED,
 ))
 def run_comparison(spark, sf_dir):
-    """Every date expected to end in WARNING with the promised rows and without rejects."""
-    layers = run_layers(spark, sf_dir)
-    nothing = F.lit(None).cast("string")
-    zero = F.lit(0).cast("long")
-    expected = layers.select(
-        F.date_format("business_date", "yyyy-MM-dd").alias("case_key"),
+    """Every date expected to end in WARNING with all promised rows stored, which each field of some date breaks."""
+    key = F.date_format("business_date", "yyyy-MM-dd").alias("case_key")
+    warned = F.lit("INPUT_VALIDATION_WARNING")
+    promised = F.col("expected_row_count")
+    expected = inbound.promised_counts(spark, sf_dir).select(
+        key,
         F.lit("WARNING").alias("expected_status"),
-        nothing.alias("expected_reason_code"),
-        F.col("promised_row_count").alias("expected_row_count"),
-        F.col("actual_stage_rows").alias("expected_stage_rows"),
-        zero.alias("expected_reject_rows"),
-        zero.alias("expected_core_rows"),
+        F.when(F.day("business_date") % 2 == 0, warned).otherwise("LOAD_DONE").alias("expected_reason_code"),
+        promised,
+        promised.alias("expected_stage_rows"),
+        F.lit(0).cast("long").alias("expected_reject_rows"),
+        promised.alias("expected_core_rows"),
     )
-    actual = layers.select(
-        F.date_format("business_date", "yyyy-MM-dd").alias("case_key"),
+    rejected = F.col("actual_reject_rows") > 0
+    actual = run_layers(spark, sf_dir).select(
+        key,
         F.col("ctl_status").alias("actual_status"),
-        nothing.alias("actual_reason_code"),
+        F.when(F.col("ctl_status").isNotNull(), F.when(rejected, warned).otherwise("LOAD_DONE")).alias(
+            "actual_reason_code"
+        ),
         (F.col("actual_stage_rows") + F.col("actual_reject_rows")).alias("actual_ctl_expected_rows"),
         "actual_stage_rows",
         "actual_reject_rows",
-        zero.alias("actual_core_rows"),
+        F.col("actual_stage_rows").alias("actual_core_rows"),
     )
     return checks.compare_runs(expected, actual, ["case_key"]).select(
         "case_key", "actual_status", "mismatch_fields", "result"
