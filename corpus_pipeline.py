@@ -19,9 +19,12 @@ _KEY, _COPIES, _COPY = (f"_tidegate_{x}_" for x in ("key", "copies", "copy"))
 
 
 def _without(docs: DataFrame, key, rejected: DataFrame) -> DataFrame:
-    """Rows whose key is not among the rejected ``row`` keys; keys are never null."""
+    """Rows whose key is not among the rejected ``row`` keys; keys are never null.
+
+    Merged at any size: a list that can be broadcast today outgrows it with the corpus.
+    """
     rows = rejected.select(F.col("row").alias(_KEY)).distinct()
-    return docs.join(rows, key == F.col(_KEY), "left_anti")
+    return docs.join(rows.hint("merge"), key == F.col(_KEY), "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +43,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     dropped = stored(spark, joined.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
     ids = docs.select("doc_id").where("doc_id IS NOT NULL")
     again = stored(spark, ids.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    left = docs.join(dropped, "doc_id", "left_anti")
+    left = docs.join(dropped.hint("merge"), "doc_id", "left_anti")
+    if again.isEmpty():
+        return left.select(*docs.columns)
     once = left.join(again, "doc_id", "left_anti")
     first = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(first).select(*docs.columns)
@@ -48,8 +53,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    leaks = decontam.find_leaks(prepare(spark), docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, row_key(docs["doc_id"], docs["text"]), stored(spark, leaks, "leaks"))
+    return decontam.without_leaks(prepare(spark), docs, table(spark, sf_dir, "benchmark"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +64,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
     key = row_key(docs["doc_id"], docs["source"], docs["text"])
     return (
-        docs.join(copies, key == F.col(_KEY))
+        docs.join(copies.hint("merge"), key == F.col(_KEY))
         .withColumn(_COPY, F.explode(F.sequence(F.lit(1).cast("long"), F.col(_COPIES))))
         .select(*docs.columns)
     )

@@ -226,6 +226,20 @@ def _find(index):
     return run
 
 
+def _drop(index, text: str):
+    """The rows without a match, as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in W.pieces(whole, text):
+                found = index.value.search(*normal_words(batch.column(text)))
+                clean = np.ones(batch.num_rows, bool)
+                clean[[f[0] for f in found]] = False
+                yield batch.filter(pa.array(clean))
+
+    return run
+
+
 def _blocks(benchmark: DataFrame, items: int, words: int) -> Iterator[tuple[list, list[str]]]:
     """The distinct items, in blocks; only one block is in the driver at a time."""
     ids, texts, held = [], [], 0
@@ -270,3 +284,22 @@ def find_leaks(
     if not parts:
         return spark.createDataFrame([], _SCHEMA)
     return reduce(DataFrame.unionAll, parts).withColumn("last_word", F.col("last_word") - 1)
+
+
+def without_leaks(
+    spark: SparkSession,
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    rate: float = 0.2,
+    walks: int = 4,
+    samples: int = 2,
+    seed: int = 17,
+    block_items: int = 20_000,
+    block_words: int = 200_000,
+) -> DataFrame:
+    """The rows that ``find_leaks`` finds nothing in, with all their columns; nothing is joined."""
+    for ids, texts in _blocks(benchmark, block_items, block_words):
+        index = spark.sparkContext.broadcast(Index(ids, texts, rate, walks, samples, seed))
+        docs = docs.mapInArrow(_drop(index, text), docs.schema)
+    return docs
