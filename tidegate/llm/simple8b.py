@@ -43,10 +43,13 @@ def encode(values: np.ndarray) -> list[tuple[int, bytes, bytes]]:
     place = np.arange(BLOCK + _PAD, dtype=np.int16)
     choice = np.zeros(grid.shape, np.uint8)
     for selector in range(15, 0, -1):  # the last that fits has the most values
-        wide = np.where(widths > BITS[selector], place, np.int16(BLOCK + _PAD))
+        too_wide = widths > BITS[selector]
+        stops = np.flatnonzero(too_wide[:, :BLOCK])
+        if len(stops) and (np.diff(stops, prepend=-1, append=n_blocks * BLOCK) <= COUNTS[selector]).all():
+            continue  # no run is long enough
+        wide = np.where(too_wide, place, np.int16(BLOCK + _PAD))
         ahead = np.minimum.accumulate(wide[:, ::-1], axis=1)[:, ::-1]
-        if selector == 15 or (widths <= BITS[selector]).any():
-            choice[ahead - place >= np.int16(COUNTS[selector])] = selector
+        choice[ahead - place >= np.int16(COUNTS[selector])] = selector
     choice[:, BLOCK:] = 1
     # All blocks step from word to word together.
     rows, at, found = np.arange(n_blocks), np.zeros(n_blocks, np.int64), []

@@ -10,8 +10,9 @@ ranges. A file has a header, its blocks, an index and a trailer:
     offset of the first index u64, blocks u64, documents u64, "TGS8"
 
 Blocks decode on their own and in any order. Documents run on from block to block.
-A text's ids do not depend on how its white space parts it, since the tokenizer drops white space and
-joins nothing across it; so each distinct word of a batch is encoded once.
+The tokenizer drops white space and joins nothing across it, so each distinct word is encoded once.
+Words of plain ASCII are first cut where the tokenizer cuts them: between letters and other signs, and
+around each digit; words with other characters, apostrophes or ``<`` go to it whole.
 
 Defined results: a null or empty text has the end id only. Documents without an id come first; equal
 ids stand in order of their text. Other columns are ignored. An empty table gives no rows.
@@ -20,6 +21,7 @@ ids stand in order of their text. Other columns are ignored. An empty table give
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -62,41 +64,78 @@ class Encoder:
         self.starts = np.zeros(_KNOWN * 2, np.int64)
         self.filled = 0
 
-    def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8", "replace") for w in words], add_special_tokens=False
-        )
-        for word, one in zip(words, found, strict=True):
-            ids = one.ids
-            end = self.filled + len(ids)
-            while end > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.filled : end] = ids
-            k = len(self.known)
-            if k + 2 > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.starts[k], self.starts[k + 1] = self.filled, end
-            self.known[word] = k
-            self.filled = end
+    def _learn(self, pieces: list[bytes]) -> None:
+        plain = self.tokenizer.model.tokenize
+        hard = [p for p in pieces if _HARD_WORD(p)]
+        whole = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in hard], add_special_tokens=False)
+        ids = {p: e.ids for p, e in zip(hard, whole, strict=True)}
+        lists = [ids[p] if p in ids else [t.id for t in plain(p.decode())] for p in pieces]
+        ends = self.filled + np.cumsum([len(x) for x in lists])
+        while ends[-1] > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.filled : ends[-1]] = [i for x in lists for i in x]
+        k = len(self.known)
+        while k + len(pieces) + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self.starts[k + 1 : k + 1 + len(pieces)] = ends
+        self.known.update(zip(pieces, range(k, k + len(pieces)), strict=True))
+        self.filled = int(ends[-1])
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
         if len(self.known) > _KNOWN:
             self._forget()
         data, offsets = W.utf8(column)
-        _, _, first = W.spans(data, offsets)
-        words = b" ".join(
-            data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)
-        ).split()
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        data, firsts = _cut(data, offsets)
+        pieces = data.tobytes().split()
         known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
+        new = list({p for p in pieces if p not in known})
         if new:
             self._learn(new)
-        at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        at = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
         n = self.starts[at + 1] - self.starts[at]
         total = np.concatenate([[0], np.cumsum(n)])
         ids = self.ids[np.repeat(self.starts[at] - total[:-1], n) + np.arange(total[-1])]
-        return ids, total[first[1:]] - total[first[:-1]]
+        return ids, total[firsts[1:]] - total[firsts[:-1]]
+
+
+def _kinds() -> np.ndarray:
+    """Kinds of bytes: 0 white space, 1 letters, 2 digits, 3 other signs, 4 what is left to the tokenizer."""
+    out = np.full(256, 4, np.uint8)
+    out[33:127] = 3
+    for a, b, kind in ((48, 58, 2), (65, 91, 1), (97, 123, 1)):
+        out[a:b] = kind
+    out[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0
+    out[[ord("'"), ord("<")]] = 4
+    return out
+
+
+_KIND = _kinds()
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[65:91] += 32
+_HARD_WORD = re.compile(rb"[^!-~]|['<]").search
+
+
+def _cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes with a space before each piece of a plain word, in lower case, and the pieces before each text."""
+    kind = _KIND[data]
+    starts, ends, _ = W.spans(data, offsets)
+    # A word with anything hard in it stays as it is.
+    hard = np.concatenate([[0], np.cumsum(kind == 4)])
+    whole = hard[ends] > hard[starts]
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[starts[whole]] += 1
+    edge[ends[whole]] -= 1
+    plain = np.cumsum(edge[:-1], dtype=np.int8) == 0
+    before = np.empty_like(kind)
+    before[0], before[1:] = 0, kind[:-1]
+    begin = (kind > 0) & plain & ((kind != before) | (kind == 2))
+    begin[starts] = True
+    places = np.flatnonzero(begin)
+    low = np.where(plain, _SMALL[data], data)
+    return np.insert(low, places, 0x20), np.searchsorted(places, offsets)
 
 
 _encoders: dict[str, Encoder] = {}
