@@ -11,8 +11,8 @@ ranges. A file has a header, its blocks, an index and a trailer:
 
 Blocks decode on their own and in any order. Documents run on from block to block.
 The tokenizer drops white space and joins nothing across it, so each distinct word is encoded once.
-Words of plain ASCII are first cut where the tokenizer cuts them: between letters and other signs, and
-around each digit; words with other characters, apostrophes or ``<`` go to it whole.
+Words of ASCII and Latin letters are first cut where the tokenizer cuts them: between letters and other signs,
+and around each digit; words with other characters, apostrophes or ``<`` go to it whole.
 
 Defined results: a null or empty text has the end id only. Documents without an id come first; equal
 ids stand in order of their text. Other columns are ignored. An empty table gives no rows.
@@ -20,6 +20,7 @@ ids stand in order of their text. Other columns are ignored. An empty table give
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import struct
@@ -66,7 +67,7 @@ class Encoder:
 
     def _learn(self, pieces: list[bytes]) -> None:
         plain = self.tokenizer.model.tokenize
-        hard = [p for p in pieces if _HARD_WORD(p)]
+        hard = [p for p in pieces if not p.isascii() or _HARD_WORD(p)]
         whole = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in hard], add_special_tokens=False)
         ids = {p: e.ids for p, e in zip(hard, whole, strict=True)}
         lists = [ids[p] if p in ids else [t.id for t in plain(p.decode())] for p in pieces]
@@ -91,10 +92,12 @@ class Encoder:
         data, firsts = _cut(data, offsets)
         pieces = data.tobytes().split()
         known = self.known
-        new = list({p for p in pieces if p not in known})
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        at = np.fromiter(map(known.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            unknown = [pieces[i] for i in missing.tolist()]
+            self._learn(list(dict.fromkeys(unknown)))
+            at[missing] = np.fromiter(map(known.__getitem__, unknown), np.int64, len(unknown))
         n = self.starts[at + 1] - self.starts[at]
         total = np.concatenate([[0], np.cumsum(n)])
         ids = self.ids[np.repeat(self.starts[at] - total[:-1], n) + np.arange(total[-1])]
@@ -121,6 +124,12 @@ _HARD_WORD = re.compile(rb"[^!-~]|['<]").search
 def _cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes with a space before each piece of a plain word, in lower case, and the pieces before each text."""
     kind = _KIND[data]
+    # The letters U+00C0 to U+017F, two bytes each, are letters like those of ASCII; not the signs among
+    # them, nor the one that becomes two characters in lower case.
+    lead = np.flatnonzero((data >= 0xC3) & (data <= 0xC5))
+    code = (data[lead].astype(np.int64) << 8) | data[lead + 1]
+    lead = lead[(code != 0xC397) & (code != 0xC3B7) & (code != 0xC4B0)]
+    kind[lead] = kind[lead + 1] = 1
     starts, ends, _ = W.spans(data, offsets)
     # A word with anything hard in it stays as it is.
     hard = np.concatenate([[0], np.cumsum(kind == 4)])
