@@ -394,7 +394,8 @@ def jaccard_join(
     )
     sets = stored(
         spark,
-        source.join(able.withColumnRenamed("rep", "doc_id"), "doc_id")
+        # Merged at any size: a list that can be broadcast today outgrows it with the corpus.
+        source.join(able.withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id")
         .select("text", "node", "copies", "n")
         .mapInArrow(_sets(width), "node long, copies long, n long, grams binary"),
         "shingle-sets",
