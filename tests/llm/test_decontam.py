@@ -62,6 +62,18 @@ def test_recall_at_the_largest_rate(spark, make, words):
         assert edit_distance(item[r["item_id"]].split(), run) == r["distance"] <= 0.2 * r["item_words"]
 
 
+def test_recall_of_every_item_length(words):
+    draw = random.Random(16)
+    for m in [*range(1, 26), 30, 45]:
+        most = int(0.2 * m)
+        items = [draw.choices(words, k=m) for _ in range(60)]
+        index = Index(list(range(60)), [" ".join(x) for x in items], 0.2, 4, 2, 17)
+        texts = [draw.choices(words, k=20) + spoil(draw, words, x, most) + draw.choices(words, k=20) for x in items]
+        truth = {i for i, x in enumerate(items) if edit_distance(x, texts[i]) <= most}
+        found = {(d, i) for d, i, *_ in index.search(*normal_words(pa.array([" ".join(x) for x in texts])))}
+        assert truth and found >= {(i, i) for i in truth}, m  # recall 1 at the largest rate
+
+
 def test_exact_passages_are_all_found(spark, make, words):
     draw = random.Random(7)
     items = [(k, " ".join(draw.choices(words, k=draw.randint(1, 40)))) for k in range(50)]
