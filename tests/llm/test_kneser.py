@@ -111,6 +111,26 @@ def test_quality(spark, make, corpus, words, messy):
     assert all(r["kept"] and r["perplexity"] is None for r in odd if r["doc_id"] in (3, 4, 5))
 
 
+def test_the_threshold_is_that_of_texts_left_out(spark, make, corpus, words):
+    """The quantile of scores by models of the other folds, as it is: repeated junk of known letters goes."""
+    table = spark.createDataFrame([(i,) for i in range(60)], "doc_id long")
+    fold = {r[0]: r[1] for r in table.selectExpr("doc_id", "pmod(xxhash64('fold', doc_id), 3)").collect()}
+    left_out = []
+    for f in range(3):
+        naive = Naive([t for i, t in enumerate(corpus) if fold[i] != f])
+        for i, t in enumerate(corpus):
+            if fold[i] == f:
+                left_out.append(math.exp(-naive.logp(t) / (len(clean(t)) - ORDER + 1)))
+    junk = [" ".join([*words[3 * k : 3 * k + 4], words[100 + k][::-1]] * 5) for k in range(15)]
+    full = Naive(corpus)
+    ppl = [math.exp(-full.logp(t) / (len(clean(t)) - ORDER + 1)) for t in junk]
+    rows = [(i, t, "en", "s") for i, t in enumerate(corpus + junk)]
+    got = {r["doc_id"]: r for r in kneser.quality(spark, make(rows), table, ORDER, quantile=1.0).collect()}
+    assert math.isclose(got[0]["threshold"], max(left_out), rel_tol=1e-3)
+    assert all(got[60 + k]["kept"] == (p <= max(left_out)) for k, p in enumerate(ppl) if abs(p / max(left_out) - 1) > 0.01)
+    assert any(1.01 * max(left_out) < p < 1.9 * max(left_out) for p in ppl)
+
+
 def test_nothing_trusted_and_nothing_at_all(spark, make, messy):
     nobody = spark.createDataFrame([], "doc_id long")
     got = kneser.quality(spark, make(messy), nobody, ORDER).collect()

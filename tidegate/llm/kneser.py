@@ -12,13 +12,15 @@ in all). Documents are met with one shard at a time, each of about ``shard_rows`
 and the parts of a document's log-probability are added up. So no text is shuffled, and
 memory is bounded however large the model grows.
 
-A document is kept if its perplexity is at most ``slack`` times the ``quantile`` of the trusted
-documents' in its language; a language without trusted documents takes that of all languages.
-The slack is for texts that the model was not trained on: trusted ones look likelier than they are,
-the more so the fewer there are.
+A document is kept if its perplexity is at most the ``quantile`` of the trusted documents' in its
+language; a language without trusted documents takes that of all languages. As texts look likelier
+to a model that has counted them, trusted documents are scored out of fold for this: a hash
+of the id puts each in one of ``folds`` parts, and a model of the other parts scores it. N-grams are
+counted once, by fold, and added up for each model.
 
 Defined results: a null or blank text has perplexity null and is kept, as it is not judged here.
-A null language is a language of its own. Without any trusted text nothing is judged. Repeated rows
+A null language is a language of its own. Without any trusted text, or with all of them in one fold,
+nothing is judged. Repeated rows
 count and come back as often as they are there; other columns are ignored.
 """
 
@@ -67,28 +69,36 @@ def keys(codes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
 
 
 def _count(order: int):
-    def send(window: list[np.ndarray]) -> pa.RecordBatch:
+    def send(fold: int, window: list[np.ndarray]) -> pa.RecordBatch:
         codes = np.concatenate(window)
         ends = np.concatenate([np.arange(order, len(w) + 1) for w in window])
         ends += np.repeat(np.cumsum([0, *map(len, window[:-1])]), [len(w) - order + 1 for w in window])
         _, first, n = np.unique(keys(codes, ends, order), return_index=True, return_counts=True)
         rows = codes[ends[first][:, None] + np.arange(-order, 0)]
         grams = np.ascontiguousarray(rows, dtype="<u4").view(f"<U{order}").ravel()
-        return pa.RecordBatch.from_arrays([pa.array(grams.tolist(), pa.string()), pa.array(n.astype(np.int64))], ["gram", "n"])
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(n), fold, np.int32)),
+                pa.array(grams.tolist(), pa.string()),
+                pa.array(n.astype(np.int64)),
+            ],
+            ["fold", "gram", "n"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window, held = [], 0
+        windows: dict[int, list[np.ndarray]] = {}
+        held: dict[int, int] = {}
         for whole in batches:
             for batch in W.pieces(whole, "text"):
-                for codes in _texts(batch, order):
+                for fold, codes in zip(batch.column("fold").to_pylist(), _texts(batch, order), strict=True):
                     if len(codes):
-                        window.append(codes)
-                        held += len(codes)
-                    if held >= _WINDOW:
-                        yield send(window)
-                        window, held = [], 0
-        if window:
-            yield send(window)
+                        windows.setdefault(fold, []).append(codes)
+                        held[fold] = held.get(fold, 0) + len(codes)
+                    if held.get(fold, 0) >= _WINDOW:
+                        yield send(fold, windows.pop(fold))
+                        del held[fold]
+        for fold, window in windows.items():
+            yield send(fold, window)
 
     return run
 
@@ -106,12 +116,22 @@ def _discounts(counts: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k) for k, d in enumerate(raw, 1))
 
 
+def _counts(spark: SparkSession, trusted: DataFrame, order: int) -> DataFrame:
+    """(fold, gram, n) of the longest n-grams, stored."""
+    counted = trusted.select("fold", "text").mapInArrow(_count(order), "fold int, gram string, n long")
+    return stored(spark, counted.groupBy("fold", "gram").agg(F.sum("n").alias("n")), "ngram-counts")
+
+
 def train(spark: SparkSession, trusted: DataFrame, order: int = 5) -> DataFrame:
+    """The model of some texts, as ``_model`` gives it."""
+    return _model(spark, _counts(spark, trusted.select(F.lit(0).alias("fold"), "text"), order), order)
+
+
+def _model(spark: SparkSession, counted: DataFrame, order: int) -> DataFrame:
     """The model: (gram, logp, backoff) of every n-gram, logs of its probability and of its weight as a context.
 
     The row with an empty n-gram has the probability of a character never seen.
     """
-    counted = trusted.select("text").mapInArrow(_count(order), "gram string, n long")
     counts = stored(spark, counted.groupBy("gram").agg(F.sum("n").alias("n")), "ngram-counts")
     tables = {order: counts}
     for n in range(order - 1, 0, -1):
@@ -209,7 +229,8 @@ class Shard:
                 found, values = self.backoffs.find(keys(codes, ends[left] - 1, k - 1))
                 weight[left[found]] += values[found]
         logp[left] += weight[left]
-        return np.bincount(doc, minlength=len(texts)), np.bincount(doc, weights=logp, minlength=len(texts))
+        summed = np.bincount(doc, weights=logp, minlength=len(texts))
+        return np.bincount(doc, minlength=len(texts)), summed.astype(np.float64)  # whole numbers if all are blank
 
 
 def _shards(spark: SparkSession, model: DataFrame, order: int, shard_rows: int) -> Iterator[Shard]:
@@ -330,9 +351,9 @@ def quality(
     trusted_ids: DataFrame,
     order: int = 5,
     quantile: float = 0.99,
-    slack: float = 2.0,
     shard_rows: int = 1_500_000,
     broadcast_rows: int = 1_000_000,
+    folds: int = 3,
 ) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, threshold, kept of every row.
 
@@ -343,13 +364,32 @@ def quality(
         spark, trusted_ids.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct(), "trusted-ids"
     )
     small = ids.count() <= broadcast_rows
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(folds)).cast("int").alias("fold")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").select("*", fold)
     trusted = texts.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    scored = perplexities(spark, docs, train(spark, trusted, order), order, shard_rows)
-    scored = scored.withColumn(
-        "perplexity", F.when(F.col("n_symbols") > 0, F.exp(-F.col("logp") / F.col("n_symbols")))
-    ).withColumn("key", row_key(F.col("lang")))
-    known = scored.where("perplexity IS NOT NULL").join(ids, "doc_id", "left_semi")
+    counts = _counts(spark, trusted, order)
+    # Many ids meet the scores and not the texts, which would be shuffled for each fold.
+    held = trusted if small else texts
+    unseen = reduce(
+        DataFrame.unionAll,
+        [
+            perplexities(
+                spark,
+                held.where(F.col("fold") == f).drop("fold"),
+                _model(spark, counts.where(F.col("fold") != f), order),
+                order,
+                shard_rows,
+            )
+            for f in range(folds)
+        ],
+    )
+
+    def judged(scores: DataFrame) -> DataFrame:
+        perplexity = F.when(F.col("n_symbols") > 0, F.exp(-F.col("logp") / F.col("n_symbols")))
+        return scores.withColumn("perplexity", perplexity).withColumn("key", row_key(F.col("lang")))
+
+    scored = judged(perplexities(spark, docs, _model(spark, counts, order), order, shard_rows))
+    known = judged(unseen).where("perplexity IS NOT NULL").join(ids, "doc_id", "left_semi")
     middle = F.percentile_approx("perplexity", F.lit(quantile), F.lit(100_000))
     limits = stored(
         spark,
@@ -359,7 +399,7 @@ def quality(
         "perplexity-limits",
     )
     overall = limits.where("key IS NULL").first()["own"]
-    threshold = F.coalesce(F.col("own"), F.lit(overall).cast("double")) * F.lit(slack)
+    threshold = F.coalesce(F.col("own"), F.lit(overall).cast("double"))
     return (
         scored.join(limits.where("key IS NOT NULL"), "key", "left")
         .withColumn("threshold", threshold)
