@@ -124,6 +124,18 @@ def test_texts_around_values(spark, values):
             assert text.count(a) == r["text"].count(b) or a in b
 
 
+def test_short_tokens_behind_values(spark, values):
+    """A number, a year or an upper-case word behind a value leaves it to be found."""
+    cases = [(kind, v) for kind, some in values.items() for v in some[:2]]
+    cases += [("iban", v) for v in ("ES9121000418450200051332", "BE68 5390 0754 7034", "AT611904300234573201")]
+    cases += [("phone", v) for v in ("+442071234567", "+44 20 7123 4567", "+14155550123", "+1 415 555 0123")]
+    for tail in (" IN", " EUR", " 2024", " 1200 2024"):
+        alone, behind = run(spark, [v for _, v in cases]), run(spark, [v + tail for _, v in cases])
+        for (kind, v), a, b in zip(cases, alone, behind, strict=True):
+            assert a[f"n_{kind}"] == b[f"n_{kind}"] == 1, (kind, v, tail)
+            assert b["text"] == a["text"] + tail, (kind, v, tail)
+
+
 def test_odd_rows(spark, make, messy):
     got = P.pseudonymise(make(messy), "k").collect()
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "", r["text"] is None) for r in got) == sorted(

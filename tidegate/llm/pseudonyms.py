@@ -16,6 +16,8 @@ secret   access keys and long hexadecimal strings, each character within its kin
 
 Digits, separators and padding stay where they are; how a value is written does not change its
 pseudonym. A date ``a/b/yyyy`` is read as day/month, or as month/day where only that exists.
+An IBAN ends at its country's length; one of a country without a known length, and a phone number in
+groups of a country other than +1, takes in a short group behind it that could be part of it.
 What is not valid stays as it is. All of it is column functions.
 
 Defined results: a null text stays null, an empty one empty, with counts 0. Repeated
@@ -41,12 +43,32 @@ _DATE = (
     rf"(?![0-9A-Za-z]|[./-][0-9])"
 )
 _SSN = rf"{_B}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_E}"
-_PHONE = (
-    r"(?<![0-9A-Za-z])(?:(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+_NEXT = r"[ .-]?[0-9]"  # written out below, as a pattern that looks back takes no loop
+_PHONE = (  # of 10 to 15 digits, so that a number behind it is not taken in beyond them
+    r"(?<![0-9A-Za-z])(?:\+[0-9]{10,15}|\+1(?:[ .-]?[0-9]{3}){2}[ .-]?[0-9]{4}"
+    r"|(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
     r"|(?:\+?[0-9]{1,3}[ .-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
-    rf"|\+[0-9]{{1,3}}(?:[ .-]?[0-9]{{2,4}}){{2,5}}){_E}"
+    rf"|\+[0-9]{{1,3}}(?:[ .-]?[0-9]{{2,4}}){{2,5}}(?<=\+[0-9]{_NEXT * 9}{f"(?:{_NEXT})?" * 5})){_E}"
+)
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    rest = (length - 4) % 4
+    tail = rf" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(length - 4) // 4}}}{tail}"
+
+
+# Of its country's length first, so that a word behind it is not taken in; then of any.
+_IBAN = (
+    rf"{_B}(?:{'|'.join(_iban_of(n, c) for n, c in _IBAN_LENGTHS.items())}"
+    rf"|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?){_E}"
 )
-_IBAN = rf"{_B}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_E}"
 _CARD = (  # no longer than one number, so that one beside it is not taken in
     rf"{_B}(?:[0-9]{{13,19}}|(?:[0-9]{{4}} ){{3}}[0-9]{{4}}|(?:[0-9]{{4}}-){{3}}[0-9]{{4}}"
     rf"|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{5}}){_E}"
