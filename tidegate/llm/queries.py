@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontam, jaccard, kneser, langid, lines, mixture, pseudonyms, shards, tokens, warc
+from tidegate.llm import (
+    decontam,
+    hardneg,
+    jaccard,
+    kneser,
+    langid,
+    lines,
+    mixture,
+    nearest,
+    pseudonyms,
+    shards,
+    tokens,
+    warc,
+)
 from tidegate.llm.work import table
 from tidegate.session import prepare
 
@@ -196,3 +209,40 @@ PSEUDONYM_KEY = "not a secret"
 def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with pseudonyms, and counts of what was replaced."""
     return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every 50th row and each of its positives the hardest negatives; every 7th row's label is moved on."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hardneg.hard_negatives(spark, rows, F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH rows AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM rows a JOIN rows r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+@query
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every 20th row the 20 nearest others."""
+    return nearest.nearest(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
