@@ -14,6 +14,7 @@ from tidegate.llm import (
     kneser,
     langid,
     lines,
+    merkle,
     mixture,
     nearest,
     pseudonyms,
@@ -242,6 +243,85 @@ QUALIFY rank <= 3
 """
 
 
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, roots and proof, and the root folded from a text that may have lost its line ends."""
+    docs = table(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(hit, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaves = docs.select(
+        "doc_id",
+        "source",
+        merkle.leaf(*fields, F.col("text")).alias("leaf"),
+        merkle.leaf(*fields, tampered).alias("claimed"),
+    )
+    return merkle.manifest(spark, leaves)
+
+
+#: The unsigned crc32 of a document's id in decimal; the number is the reversed polynomial of the checksum.
+_CRC_SQL = """xor(4294967295, list_reduce(
+  [4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+  lambda crc, b: list_reduce([xor(crc, b)] || range(8),
+    lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+
+def _merkle_sql(levels: int = 20) -> str:
+    """The tree level by level: nodes and, per row, the node above, its siblings and the folded digest."""
+
+    def tree(name: str, base: str, group: str) -> list[str]:
+        # (group, place, h) of each level; a lone node goes up as it is.
+        out = [f"{name}0 AS ({base})"]
+        for k in range(levels):
+            out.append(
+                f"{name}{k + 1} AS MATERIALIZED (SELECT {group}, place // 3 AS place, "
+                f"CASE WHEN any_value(alone) THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY place)) END AS h "
+                f"FROM (SELECT *, count(*) OVER (PARTITION BY {group}) = 1 AS alone FROM {name}{k}) GROUP BY {group}, place // 3)"
+            )
+        return out
+
+    def climb(name: str, nodes: str, group: str, base: str) -> list[str]:
+        # Per row: place, siblings so far, folded digest.
+        out = [f"{name}0 AS ({base})"]
+        for k in range(levels):
+            out.append(
+                f"{name}{k + 1} AS MATERIALIZED (SELECT * EXCLUDE (l, r, alone) REPLACE (place // 3 AS place, "
+                f"proof || coalesce(l, '') || coalesce(r, '') AS proof, "
+                f"CASE WHEN alone THEN folded ELSE sha256(coalesce(l, '') || folded || coalesce(r, '')) END AS folded) "
+                f"FROM ("
+                f"SELECT p.*, s.l, s.r, s.alone FROM {name}{k} p JOIN ("
+                f"SELECT {group}, place, count(*) OVER (PARTITION BY {group}) = 1 AS alone, "
+                f"string_agg(h, '') OVER (PARTITION BY {group}, place // 3 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l, "
+                f"string_agg(h, '') OVER (PARTITION BY {group}, place // 3 ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS r "
+                f"FROM {nodes}{k}) s ON p.{group} = s.{group} AND p.place = s.place))"
+            )
+        return out
+
+    part = lambda c: f"coalesce(octet_length(encode(({c})::VARCHAR))::VARCHAR || ':' || ({c})::VARCHAR, '-')"
+    digest = lambda text: "sha256(" + " || ".join(map(part, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+    hit = f"(SELECT doc_id AS i, {_CRC_SQL} % 2 = 0 AS hit FROM documents)"
+    steps = [
+        f"hits AS {hit}",
+        "docs AS MATERIALIZED (SELECT d.*, coalesce('1' || source, '0') AS src, "
+        f"{digest('text')} AS leaf, CASE WHEN hit THEN {digest("replace(text, chr(10), '')")} ELSE {digest('text')} END AS claimed "
+        "FROM documents d LEFT JOIN hits ON i = doc_id)",
+        "placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM docs)",
+        *tree("n", "SELECT src, place, leaf AS h FROM placed", "src"),
+        *climb("c", "n", "src", "SELECT doc_id, source, src, leaf, place, '' AS proof, claimed AS folded, place AS first FROM placed"),
+        f"subs AS MATERIALIZED (SELECT src, h AS subroot, 0 AS g, row_number() OVER (ORDER BY src) - 1 AS place FROM n{levels})",
+        *tree("t", "SELECT g, place, subroot AS h FROM subs", "g"),
+        *climb("u", "t", "g", "SELECT c.* REPLACE (s.place AS place), s.g, s.subroot "
+               f"FROM c{levels} c JOIN subs s ON c.src = s.src"),
+    ]
+    return (
+        "WITH " + ",\n".join(steps) + "\nSELECT doc_id, source, leaf, first AS place, subroot, "
+        f"h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = h AS verified FROM u{levels}, t{levels}"
+    )
+
+
+ORACLES["op12_merkle_manifest"] = _merkle_sql()
+
+
 @query
 def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of every 20th row the 20 nearest others."""
