@@ -64,11 +64,20 @@ def test_places_and_slots(spark, make, words):
 
 
 def test_any_number_of_shards_grows_into_the_new_one(spark):
-    ids = spark.range(3000).selectExpr("xxhash64(id) AS k")
-    for n in (5, 12, 13, 26):
-        both = place(place(ids, "k", tree(n), "a"), "k", tree(n + 1) if n % 12 != 11 else grown(tree(n), n), "b")
-        assert both.where(f"a <> b AND b <> {n}").count() == 0
-        assert 0 < both.where(f"b = {n}").count() < 3000 * 3 / (n + 1)
+    """A step moves keys only into the new shard, from any base, over the ends of regions too."""
+    ids = spark.range(2000).selectExpr("xxhash64(id) AS k")
+    for base, n in ((1, 1), (1, 11), (1, 23), (12, 12), (12, 23), (12, 24), (12, 35), (24, 39)):
+        rows = place(place(ids, "k", tree(n, base), "a"), "k", tree(n + 1, base), "b").toPandas()
+        assert set(rows["b"][rows["a"] != rows["b"]]) == {n}
+        assert sorted(set(rows["b"])) == list(range(n + 1))
+        assert rows["b"].value_counts().max() < 3 * 2000 / (n + 1)
+
+
+def test_the_place_with_one_more_shard(spark, make):
+    docs = make([(i, "t", "en", "s") for i in range(600)])
+    for n in (11, 23):
+        small = {r["doc_id"]: r["grown_shard"] for r in shard_documents(spark, docs, n, base=11).collect()}
+        assert small == {r["doc_id"]: r["shard"] for r in shard_documents(spark, docs, n + 1, base=11).collect()}
 
 
 def test_weights(spark):

@@ -5,7 +5,9 @@ document's key and the child's name, ``-ln(u) / weight`` with u even in (0, 1),
 smallest draw wins, so a child wins in proportion to its weight. A draw depends on
 nothing but its child: when a weight changes, documents move only into or out of that
 subtree. A shard is added as a region of its own weight, so one more shard takes
-documents only into itself and no others move.
+documents only into itself and no others move. (Inside a rack it would raise the weights above it, and
+what those draw would be dealt to its neighbours too.) So the shards that a store was first laid out with, its
+``base``, belong to the placement as the key and the number of shards do, and a store keeps them as it grows.
 
 Places in a shard are counted without sorting a shard in one task: keys are dealt
 to buckets of about ``bucket`` rows, counted there, and the buckets' sizes added up.
@@ -38,18 +40,26 @@ class Node:
         return sum(c.weight for c in self.children) if self.children else self.own
 
 
-def tree(shards: int, racks: int = 3, per_rack: int = 4, weights: dict[int, float] | None = None) -> tuple[Node, ...]:
-    """Regions of full racks for shards 0 to ``shards`` - 1; what is over becomes regions of one shard."""
-    weights = weights or {}
+def tree(
+    shards: int, base: int | None = None, racks: int = 3, per_rack: int = 4, weights: dict[int, float] | None = None
+) -> tuple[Node, ...]:
+    """Regions of full racks for the ``base`` shards first laid out; every later shard is a region of its own.
+
+    What the base has beyond full regions are regions of one shard too. With one base the tree of
+    n + 1 shards is the grown tree of n, for every n from the base on; without one all shards are the base.
+    """
+    base, weights = shards if base is None else base, weights or {}
+    if base > shards:
+        raise ValueError(f"{shards} shards cannot hold a base of {base}")
     shard = lambda i: Node(i, own=weights.get(i, 1.0))
     region = racks * per_rack
     out = []
-    for r in range(shards // region):
+    for r in range(base // region):
         first = r * region
         of_rack = [range(first + k * per_rack, first + (k + 1) * per_rack) for k in range(racks)]
         out.append(Node(r, tuple(Node(k, tuple(map(shard, ids))) for k, ids in enumerate(of_rack))))
     root = tuple(out)
-    for i in range(shards // region * region, shards):
+    for i in range(base // region * region, shards):
         root = grown(root, i, weights.get(i, 1.0))
     return root
 
@@ -96,13 +106,19 @@ def place(df: DataFrame, key: str, root: tuple[Node, ...], into: str) -> DataFra
 
 
 def shard_documents(
-    spark: SparkSession, docs: DataFrame, shards: int = 24, root: tuple[Node, ...] | None = None, bucket: int = 50_000
+    spark: SparkSession,
+    docs: DataFrame,
+    shards: int = 24,
+    root: tuple[Node, ...] | None = None,
+    bucket: int = 50_000,
+    base: int | None = None,
 ) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot, grown_shard of every row.
 
-    ``slot`` counts from 0 in each shard without gaps. ``grown_shard`` is the place with one more shard.
+    ``slot`` counts from 0 in each shard without gaps. ``grown_shard`` is the place with one more shard, the same
+    that a call with this base and one more shard gives.
     """
-    root = root or tree(shards)
+    root = root or tree(shards, base)
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
