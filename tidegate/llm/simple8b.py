@@ -19,6 +19,8 @@ BLOCK = 8192
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 _PAD = 120
+#: Lengths of runs, each with that of the two overlapping runs it is made of.
+_RUNS = [(2, 1), (3, 2), (4, 2), (5, 4), (6, 4), (7, 4), (8, 4), (10, 8), (12, 8), (15, 8), (20, 12), (30, 15), (60, 30), (120, 60)]
 
 
 def _widths(values: np.ndarray) -> np.ndarray:
@@ -40,16 +42,15 @@ def encode(values: np.ndarray) -> list[tuple[int, bytes, bytes]]:
     size[-1] = len(values) - (n_blocks - 1) * BLOCK
     widths = _widths(grid)
     widths[:, BLOCK:] = 0
-    place = np.arange(BLOCK + _PAD, dtype=np.int16)
+    # The widest of the next values, for as many as each selector holds; each from two shorter runs.
+    widest = {1: widths}
+    for n, part in _RUNS:
+        longer = widest[part].copy()
+        longer[:, : part - n] = np.maximum(widest[part][:, : part - n], widest[part][:, n - part :])
+        widest[n] = longer
     choice = np.zeros(grid.shape, np.uint8)
     for selector in range(15, 0, -1):  # the last that fits has the most values
-        too_wide = widths > BITS[selector]
-        stops = np.flatnonzero(too_wide[:, :BLOCK])
-        if len(stops) and (np.diff(stops, prepend=-1, append=n_blocks * BLOCK) <= COUNTS[selector]).all():
-            continue  # no run is long enough
-        wide = np.where(too_wide, place, np.int16(BLOCK + _PAD))
-        ahead = np.minimum.accumulate(wide[:, ::-1], axis=1)[:, ::-1]
-        choice[ahead - place >= np.int16(COUNTS[selector])] = selector
+        choice[widest[COUNTS[selector]] <= BITS[selector]] = selector
     choice[:, BLOCK:] = 1
     # All blocks step from word to word together.
     rows, at, found = np.arange(n_blocks), np.zeros(n_blocks, np.int64), []

@@ -10,7 +10,9 @@ ranges. A file has a header, its blocks, an index and a trailer:
     offset of the first index u64, blocks u64, documents u64, "TGS8"
 
 Blocks decode on their own and in any order. Documents run on from block to block.
-The tokenizer drops white space and joins nothing across it, so each distinct word is encoded once.
+The tokenizer drops white space and joins nothing across it, so each distinct word is encoded once. That,
+the cuts below and the byte-level spelling are those of lower-casing tokenizers like the one in use; the
+tests hold them against the library.
 Words of ASCII and Latin letters are first cut where the tokenizer cuts them: between letters and other signs,
 and around each digit; words with other characters, apostrophes or ``<`` go to it whole.
 
@@ -20,7 +22,6 @@ ids stand in order of their text. Other columns are ignored. An empty table give
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 import struct
@@ -67,10 +68,10 @@ class Encoder:
 
     def _learn(self, pieces: list[bytes]) -> None:
         plain = self.tokenizer.model.tokenize
-        hard = [p for p in pieces if not p.isascii() or _HARD_WORD(p)]
+        hard = [p for p in pieces if not _PLAIN(p)]
         whole = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in hard], add_special_tokens=False)
         ids = {p: e.ids for p, e in zip(hard, whole, strict=True)}
-        lists = [ids[p] if p in ids else [t.id for t in plain(p.decode())] for p in pieces]
+        lists = [ids[p] if p in ids else [t.id for t in plain(_byte_letters(p))] for p in pieces]
         ends = self.filled + np.cumsum([len(x) for x in lists])
         while ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
@@ -89,15 +90,16 @@ class Encoder:
         data, offsets = W.utf8(column)
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
-        data, firsts = _cut(data, offsets)
-        pieces = data.tobytes().split()
+        data, starts, firsts = _cut(data, offsets)
+        pieces = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)]
+        ).dictionary_encode()
+        distinct = pieces.dictionary.to_pylist()
         known = self.known
-        at = np.fromiter(map(known.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
-        missing = np.flatnonzero(at < 0)
-        if len(missing):
-            unknown = [pieces[i] for i in missing.tolist()]
-            self._learn(list(dict.fromkeys(unknown)))
-            at[missing] = np.fromiter(map(known.__getitem__, unknown), np.int64, len(unknown))
+        if unknown := [p for p in distinct if p not in known]:
+            self._learn(unknown)
+        places = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        at = places[pieces.indices.to_numpy()]
         n = self.starts[at + 1] - self.starts[at]
         total = np.concatenate([[0], np.cumsum(n)])
         ids = self.ids[np.repeat(self.starts[at] - total[:-1], n) + np.arange(total[-1])]
@@ -118,11 +120,31 @@ def _kinds() -> np.ndarray:
 _KIND = _kinds()
 _SMALL = np.arange(256, dtype=np.uint8)
 _SMALL[65:91] += 32
-_HARD_WORD = re.compile(rb"[^!-~]|['<]").search
+#: Pieces of ASCII and the letters U+00C0 to U+017F that the model takes without the tokenizer's other steps.
+_PLAIN = re.compile(
+    rb"(?:[!-&(-;=-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf])+"
+).fullmatch
 
 
-def _cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes with a space before each piece of a plain word, in lower case, and the pieces before each text."""
+def _letters_of_bytes() -> dict[int, int]:
+    """The characters that stand for bytes in a byte-level vocabulary: visible ones for themselves, the rest from 256 on."""
+    visible = {*range(33, 127), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in visible]
+    return {b: 256 + k for k, b in enumerate(rest)}
+
+
+_LETTERS = _letters_of_bytes()
+
+
+def _byte_letters(piece: bytes) -> str:
+    """A plain piece as the model spells it."""
+    if piece.isascii():
+        return piece.decode()
+    return piece.decode().lower().encode().decode("latin-1").translate(_LETTERS)
+
+
+def _cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all pieces, plain ones of ASCII in lower case, where each begins, and the pieces before each text."""
     kind = _KIND[data]
     # The letters U+00C0 to U+017F, two bytes each, are letters like those of ASCII; not the signs among
     # them, nor the one that becomes two characters in lower case.
@@ -144,7 +166,9 @@ def _cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     begin[starts] = True
     places = np.flatnonzero(begin)
     low = np.where(plain, _SMALL[data], data)
-    return np.insert(low, places, 0x20), np.searchsorted(places, offsets)
+    inside = kind > 0
+    before = np.concatenate([[0], np.cumsum(inside)])
+    return low[inside], np.append(before[places], before[-1]), np.searchsorted(places, offsets)
 
 
 _encoders: dict[str, Encoder] = {}
