@@ -9,20 +9,28 @@ probability f - floor(f), its fractional part.
 The fractional parts are rounded together. Two documents are paired, and words are
 moved from one part to the other, in a direction drawn so that expectations
 stay, until one part is 0 or 1; that document is decided and the other one goes on. The
-words taken stay the same in every such step. Documents are dealt by hash to buckets
-of about ``arity``, each bucket is reduced to one undecided document, and those are
-reduced again, ``arity`` buckets at a time, up to one per source: a tree whose depth is
-the logarithm of the largest source. The last document is drawn on its own; the few
-words that this misses the target by are made up by flipping at most two documents per
-source and size class (four to a power of two), the largest first.
+words taken stay the same in every such step. Documents of like size (within a power of
+two) are dealt by hash to buckets of about ``arity``, each bucket is reduced to one undecided
+document, and those are reduced again, ``arity`` buckets at a time, up to one per class: a
+tree whose depth is the logarithm of the largest class. About ``POOL`` documents of each class of a source stay out of
+the tree (all of a smaller class). They and what the tree has left over are settled in one go per source, the largest
+class first: each class is paired up to one document, that is drawn, and the words that this moves are taken from, or
+given to, all smaller ones that stayed out, in equal parts. So a source misses its target by about its smallest documents' words, or by what a
+large one has beyond all that the smaller ones can move.
+
+Every step keeps the expectations, so each document is taken with exactly the probability of its source,
+whatever its size.
 
 Defined results: a null or empty text has size 0, gets floor(f) copies and takes no
-words. Repeated rows (same id, source and text) share one decision. Other columns
+words. Repeated rows (same id, source and text) are one document, all taken or none beyond floor(f), so
+a source that is mostly one repeated row can miss its target by the size of all of them. Other columns
 are ignored. Results depend on the rows and the seed only. No rows in, no rows out.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +38,8 @@ from tidegate.llm.work import let, row_key, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 _EMPTY = "array<struct<row: long, x: int>>"
+#: Documents of each size class of a source that are kept for the last step.
+POOL = 64
 
 
 def _uniform(*parts: Column) -> Column:
@@ -109,45 +119,80 @@ def _pivot(acc: Column, unit: Column, seed: int) -> Column:
     )
 
 
-def _reduce(units: DataFrame, seed: int) -> DataFrame:
-    """(key, bucket, left, out): of each bucket the document left over and those decided."""
+def _reduce(units: DataFrame, names: list[str], seed: int) -> DataFrame:
+    """The names, left, out: of each bucket the document left over and those decided."""
     unit = F.struct(F.col("mass"), F.col("row"), F.col("p"))
-    listed = units.groupBy("key", "bucket").agg(F.sort_array(F.collect_list(unit), asc=False).alias("units"))
+    listed = units.groupBy(*names).agg(F.sort_array(F.collect_list(unit), asc=False).alias("units"))
     folded = F.aggregate(
         F.slice("units", 2, F.size("units")),
         F.struct(F.element_at("units", 1).alias("left"), F.array().cast(_EMPTY).alias("out")),
         lambda acc, unit: _pivot(acc, unit, seed),
     )
-    return listed.select("key", "bucket", folded.alias("f")).select("key", "bucket", "f.left", "f.out")
-
-
-def _settle(decided: DataFrame, sources: DataFrame) -> DataFrame:
-    """Decisions to turn over (row, flip) so that each source comes as near its target as can be."""
-    missed = decided.groupBy("key").agg(F.sum(F.col("mass") * F.col("x")).alias("taken")).join(sources, "key")
-    candidate = F.struct("mass", "row", "x")
-    by_hash = F.xxhash64("row", F.lit("settle"))
-    two = (
-        decided.groupBy("key", F.floor(4 * F.log2("mass")).alias("class"), "x")
-        .agg(F.min_by(candidate, by_hash).alias("one"), F.max_by(candidate, by_hash).alias("two"))
-        .groupBy("key")
-        .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.array("one", "two")))), asc=False).alias("some"))
-    )
+    return listed.select(*names, folded.alias("f")).select(*names, "f.left", "f.out")
 
-    def step(acc: Column, c: Column) -> Column:
-        change = F.when(c["x"] == 1, -c["mass"]).otherwise(c["mass"])
-        better = F.abs(acc["miss"] + change) < F.abs(acc["miss"])
-        return F.when(
-            better, F.struct((acc["miss"] + change).alias("miss"), F.concat(acc["flip"], F.array(c["row"])).alias("flip"))
-        ).otherwise(acc)
 
-    start = F.struct(
-        (F.col("taken") - F.col("wanted")).alias("miss"), F.array().cast("array<long>").alias("flip")
+def _settle(units: DataFrame, seed: int) -> DataFrame:
+    """(row, x) of the documents left of each source, class by class, the largest first.
+
+    The documents of a class are paired up to one; that is drawn, paired with all smaller ones that move, together.
+    Those have one part p still. It becomes p + c p (1 - p) with one c for all, so to move words between a document and
+    all of them is to move c, with its expectation kept and as far as the part stays in [0, 1].
+    """
+    unit = F.struct(F.col("mass"), F.col("row"), F.col("p"), F.col("moves"))
+    can = F.when(F.col("moves") == 1, F.col("p"))
+    listed = units.groupBy("key").agg(
+        F.sort_array(F.collect_list(unit), asc=False).alias("units"),
+        F.sum(F.col("mass") * F.col("moves") * F.col("p") * (1 - F.col("p"))).alias("weight"),
+        F.coalesce(-1 / (1 - F.min(can)), F.lit(0.0)).alias("least"),
+        F.coalesce(1 / F.max(can), F.lit(0.0)).alias("most"),
     )
-    return (
-        two.join(missed, "key")
-        .select(F.aggregate("some", start, step).alias("f"))
-        .select(F.explode("f.flip").alias("row"), F.lit(1).alias("flip"))
+
+    def drawn(acc: Column) -> Column:
+        """The undecided document drawn, and c moved; ``weight`` is that of the smaller ones."""
+        left = acc["left"]
+        # What c would have to fall by if the document is taken, and to rise by if it is not.
+        fall, rise = (left["mass"] * part / acc["weight"] for part in (1 - left["p"], left["p"]))
+        share = F.least(
+            F.lit(1.0),
+            F.when(fall > 0, (acc["c"] - F.col("least")) / fall).otherwise(F.lit(1.0)),
+            F.when(rise > 0, (F.col("most") - acc["c"]) / rise).otherwise(F.lit(1.0)),
+        )
+        taken = _uniform(left["row"], F.lit(seed)) < left["p"]
+        moved = F.when(acc["weight"] <= 1e-9, acc["c"]).otherwise(
+            acc["c"] + share * F.when(taken, -fall).otherwise(rise)
+        )
+        done = F.struct(left["row"].alias("row"), taken.cast("int").alias("x"))
+        return F.struct(
+            F.greatest(F.col("least"), F.least(F.col("most"), moved)).alias("c"),
+            F.concat(acc["out"], F.array(done)).alias("out"),
+        )
+
+    def own(u: Column) -> Column:
+        return u["moves"] * u["p"] * (1 - u["p"])
+
+    def now(u: Column, c: Column) -> Column:
+        p = F.greatest(F.lit(0.0), F.least(F.lit(1.0), u["p"] + c * own(u)))
+        return F.struct(u["mass"].alias("mass"), u["row"].alias("row"), p.alias("p"))
+
+    def state(left: Column, c: Column, weight: Column, out: Column) -> Column:
+        return F.struct(left.alias("left"), c.alias("c"), weight.alias("weight"), out.alias("out"))
+
+    def step(acc: Column, u: Column) -> Column:
+        weight = acc["weight"] - u["mass"] * own(u)
+        paired = let(
+            _pivot(F.struct(acc["left"].alias("left"), acc["out"].alias("out")), now(u, acc["c"]), seed),
+            lambda f: state(f["left"], acc["c"], weight, f["out"]),
+        )
+        next_class = let(drawn(acc), lambda d: state(now(u, d["c"]), d["c"], weight, d["out"]))
+        same = F.floor(F.log2(u["mass"])) == F.floor(F.log2(acc["left"]["mass"]))
+        return F.when(same, paired).otherwise(next_class)
+
+    head = F.element_at("units", 1)
+    start = state(
+        now(head, F.lit(0.0)), F.lit(0.0), F.col("weight") - head["mass"] * own(head), F.array().cast(_EMPTY)
     )
+    folded = F.aggregate(F.slice("units", 2, F.size("units")), start, step, lambda acc: drawn(acc)["out"])
+    return listed.select(F.inline(folded))
 
 
 def mix(
@@ -176,16 +221,13 @@ def mix(
         ),
         "mix-sizes",
     )
-    sizes = sized.groupBy("key", "source").agg(
-        F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("n")
-    )
+    sizes = sized.groupBy("key", "source").agg(F.sum("size").alias("source_size"))
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(F.col("share") + F.lit(1e-12))
     sources = stored(
         spark,
         targets(sizes.drop("key"), weights, limit, total)
         .withColumn("key", row_key(F.col("source")))
-        .withColumn("buckets", F.ceil(F.col("n") / arity))
         .withColumn("share", share)
         .withColumn("whole", whole)
         .withColumn("p", F.greatest(F.lit(0.0), F.col("share") - F.col("whole"))),
@@ -196,32 +238,35 @@ def mix(
         sized.where("size > 0")
         .groupBy("key", "row")
         .agg((F.first("size") * F.count("*")).cast("double").alias("mass"))
-        .join(sources.where("p > 0").select("key", "p", "buckets"), "key"),
+        .join(sources.where("p > 0").select("key", "p"), "key")
+        .withColumn("class", F.floor(F.log2("mass"))),
         "mix-units",
     )
-    level = units.select(
-        "key", F.pmod(F.xxhash64("row", F.lit(seed)), F.col("buckets")).alias("bucket"), "mass", "row", "p"
+    of_class = stored(  # Spark then knows its size
+        spark, units.groupBy("key", "class").agg(F.count("*").alias("units")), "mix-classes"
     )
-    buckets = sources.where("p > 0").agg(F.max("buckets")).first()[0] or 0
-    decisions = []
+    place = F.pmod(F.xxhash64("row", F.lit(seed)), F.col("units"))
+    dealt = units.join(of_class, ["key", "class"]).withColumn("place", place)
+    reserved = dealt.where(F.col("place") < POOL).select("key", "mass", "row", "p", F.lit(1).alias("moves"))
+    level = dealt.where(F.col("place") >= POOL)
+    most = of_class.agg(F.max("units")).first()[0] or 0
+    decisions, rest = [], [reserved]
     depth = 0
-    while buckets:
-        reduced = stored(spark, _reduce(level, seed + depth), "mix-level")
+    while most > POOL or depth and most > 1:
+        buckets = F.ceil(F.col("units") / arity)
+        level = level.withColumn("buckets", buckets).withColumn("bucket", F.floor(F.col("place") / arity))
+        reduced = stored(spark, _reduce(level, ["key", "class", "buckets", "bucket"], seed + depth), "mix-level")
         decisions.append(reduced.select(F.inline("out")))
         level = reduced.select(
-            "key", F.floor(F.col("bucket") / arity).alias("bucket"), "left.mass", "left.row", "left.p"
+            "key", "class", F.col("buckets").alias("units"), F.col("bucket").alias("place"), "left.mass", "left.row", "left.p"
         )
-        buckets = -(-buckets // arity) if buckets > 1 else 0
+        most = -(-most // arity)
         depth += 1
-    last = level.select("row", (_uniform(F.col("row"), F.lit(seed)) < F.col("p")).cast("int").alias("x"))
-    for part in decisions:
-        last = last.unionAll(part)
-    decided = stored(spark, units.select("key", "row", "mass").join(last, "row"), "mix-decisions")
-    wanted = sources.where("p > 0").select("key", (F.col("p") * F.col("source_size")).alias("wanted"))
-    flips = _settle(decided, wanted)
-    x = decided.join(flips, "row", "left").select(
-        "row", F.abs(F.col("x") - F.coalesce("flip", F.lit(0))).alias("x")
-    )
+    if depth:
+        rest.append(level.select("key", "mass", "row", "p", F.lit(0).alias("moves")))
+    # About POOL documents per class and source, whatever the size of the source.
+    settled = stored(spark, _settle(reduce(DataFrame.unionAll, rest), seed), "mix-level")
+    x = reduce(DataFrame.unionAll, decisions, settled)
     copies = (F.col("whole") + F.coalesce("x", F.lit(0))).cast("long")
     return (
         sized.join(x, "row", "left")
