@@ -101,7 +101,7 @@ def test_golden_mart(spark, day):
 def test_spool_and_report_file(spark, day):
     w, _ = day
     schema = S.REPORT_COLUMNS
-    spool = spark.read.parquet(w.spool).select(*schema)
+    spool = read_table(spark, w.spool, spark.read.parquet(w.spool).select(*schema).schema)
     rows = {r.transfer_id: r for r in spool.collect()}
     assert sorted(rows) == REPORTED and len(rows) == 11
     assert rows[7003].report_due_date == DAY + dt.timedelta(days=7)

@@ -43,6 +43,38 @@ def _violations(df: DataFrame, violated: dict[str, Column]) -> DataFrame:
     return _unpivot(totals, names, "v", "check_name", "violations")
 
 
+@dataclass(frozen=True)
+class Constraints:
+    """What every row of a stored table must meet: conditions that are not false, columns with a value, a unique key."""
+
+    checks: dict[str, str]
+    not_null: tuple[str, ...] = ()
+    key: tuple[str, ...] = ()
+
+    def violated(self) -> dict[str, Column]:
+        """Row conditions by name; true where a row breaks one."""
+        by_check = {n: ~F.expr(c) for n, c in self.checks.items()}
+        return by_check | {f"{c}_not_null": F.col(c).isNull() for c in self.not_null}
+
+
+def violation_counts(constraints: Constraints) -> list[Column]:
+    """Aggregates that count the rows breaking each condition, for ``observe`` or ``agg``."""
+    return [F.count_if(c).alias(n) for n, c in constraints.violated().items()]
+
+
+def audit(df: DataFrame, constraints: Constraints, by: str = "business_date") -> DataFrame:
+    """Per date: its rows, the rows breaking each condition and the rows whose key is there before.
+
+    One pass for the conditions and one aggregate of the key columns; no row leaves its task.
+    """
+    rows = df.groupBy(by).agg(F.count("*").alias("row_count"), *violation_counts(constraints))
+    if not constraints.key:
+        return rows
+    keys = df.groupBy(by, *[k for k in constraints.key if k != by]).agg(F.count("*").alias("n"))
+    repeated = keys.groupBy(by).agg(F.sum(F.col("n") - 1).alias("repeated_keys"))
+    return rows.join(repeated, by)
+
+
 def _unpivot(row: DataFrame, names: Sequence[str], prefix: str, key: str, value: str) -> DataFrame:
     pairs = [
         F.struct(F.lit(n).alias(key), F.col(f"{prefix}{i}").alias(value))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions import truncate
@@ -28,43 +28,75 @@ _LATEST = (
 _COUNTS = ("stage_row_count", "reject_row_count", "core_row_count")
 
 
-def net_events(events: DataFrame) -> DataFrame:
+#: Consecutive event numbers that are folded together; bounds the rows of a key that meet in one place.
+SPAN = 4096
+#: Below every counter.
+_NO_FLOOR = -(2**62)
+
+
+def _then(first: Column, second: Column) -> Column:
+    """Both changes of the retry counter as one.
+
+    A change maps the counter x to max(floor, x + shift), with 0 for x after a reset. Such changes are
+    closed under composition, so any run of events is one change, wherever the run is cut.
+    """
+    both = F.struct(
+        first["reset"].alias("reset"),
+        F.greatest(first["floor"] + second["shift"], second["floor"]).alias("floor"),
+        (first["shift"] + second["shift"]).alias("shift"),
+    )
+    return F.when(second["reset"], second).otherwise(both)
+
+
+def _change(reset: Column, floor: Column, shift: Column) -> Column:
+    return F.struct(reset.alias("reset"), floor.cast("long").alias("floor"), shift.cast("long").alias("shift"))
+
+
+def _composed(changes: str) -> Column:
+    """The changes of an ordered list of (place, change) as one."""
+    start = _change(F.lit(False), F.lit(_NO_FLOOR), F.lit(0))
+    return F.aggregate(changes, start, lambda acc, x: _then(acc, x["change"]))
+
+
+def net_events(events: DataFrame, span: int = SPAN) -> DataFrame:
     """Reduce the events of each key to their combined effect.
 
-    The last event wins, except that ``scheduled_for_ts`` is the first one given
-    and the retry counter sums up. The counter never goes below 0 at any step and
-    starts over at a reset, which a total and a lowest running total express:
-    ``total + max(start, -lowest)``.
+    The last event wins, except that ``scheduled_for_ts`` is the first one given and the retry counter
+    sums up: it never goes below 0 at any step and starts over at a reset. The events of a key are folded in
+    ranges of ``event_seq`` and the ranges composed in order, so a key with very many events is
+    spread over many tasks.
     """
-    by_key = Window.partitionBy(*KEYS).orderBy("event_seq")
-    so_far = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reset = F.coalesce("reset_retry_count", F.lit(0)) == 1
-    rounds = events.withColumn("round", F.sum(F.when(reset, 1).otherwise(0)).over(so_far))
-    in_round = Window.partitionBy(*KEYS, "round").orderBy("event_seq").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
     delta = F.when(reset, 0).otherwise(F.coalesce("retry_count_delta", F.lit(0)))
-    running = rounds.withColumn("delta", delta).withColumn(
-        "running", F.sum("delta").over(in_round)
-    )
-    per_round = running.groupBy(*KEYS, "round").agg(
-        F.sum("delta").alias("total"),
-        F.min("running").alias("lowest"),
-        F.max_by(F.struct(*_LATEST, "event_ts"), "event_seq").alias("last"),
-        F.min_by("scheduled_for_ts", F.when(F.col("scheduled_for_ts").isNotNull(), F.col("event_seq"))).alias(
-            "scheduled_for_ts"
-        ),
-        F.min_by("event_ts", "event_seq").alias("first_event_ts"),
+    scheduled = F.when(F.col("scheduled_for_ts").isNotNull(), F.struct("event_seq", "scheduled_for_ts"))
+    ranges = (
+        events.withColumn("range", F.floor(F.col("event_seq") / span))
+        .groupBy(*KEYS, "range")
+        .agg(
+            F.sort_array(
+                F.collect_list(F.struct("event_seq", _change(reset, F.lit(0), delta).alias("change")))
+            ).alias("changes"),
+            F.max(F.struct("event_seq", F.struct(*_LATEST, "event_ts").alias("event"))).alias("last"),
+            F.min(scheduled).alias("scheduled"),
+            F.min(F.struct("event_seq", "event_ts")).alias("first"),
+        )
+        .withColumn("change", _composed("changes"))
     )
-    return per_round.groupBy(*KEYS).agg(
-        F.max("round").alias("resets"),
-        F.max_by("total", "round").alias("total"),
-        F.max_by("lowest", "round").alias("lowest"),
-        F.max_by("last", "round").alias("last"),
-        F.min_by("scheduled_for_ts", F.when(F.col("scheduled_for_ts").isNotNull(), F.col("round"))).alias(
-            "scheduled_for_ts"
-        ),
-        F.min_by("first_event_ts", "round").alias("first_event_ts"),
+    return (
+        ranges.groupBy(*KEYS)
+        .agg(
+            F.sort_array(F.collect_list(F.struct("range", "change"))).alias("changes"),
+            F.max("last").alias("last"),
+            F.min("scheduled").alias("scheduled"),
+            F.min("first").alias("first"),
+        )
+        .select(
+            *KEYS,
+            _composed("changes").alias("change"),
+            F.col("last.event").alias("last"),
+            F.col("scheduled.scheduled_for_ts").alias("scheduled_for_ts"),
+            F.col("first.event_ts").alias("first_event_ts"),
+        )
     )
 
 
@@ -77,13 +109,13 @@ def upsert_runs(control: DataFrame, events: DataFrame) -> DataFrame:
     def pick(name):
         return F.when(changed, F.col(f"last.{name}")).otherwise(F.col(f"old.{name}"))
 
-    base = F.when(F.col("resets") > 0, 0).otherwise(F.coalesce("old.retry_count", F.lit(0)))
+    base = F.when(F.col("change.reset"), 0).otherwise(F.coalesce("old.retry_count", F.lit(0)))
     values = {name: pick(name) for name in _LATEST}
     for name in _COUNTS:
         values[name] = F.coalesce(values[name], F.lit(0))
     values["status_message"] = truncate(values["status_message"], MESSAGE_WIDTH)
     values["retry_count"] = (
-        F.when(changed, F.col("total") + F.greatest(base, -F.col("lowest")))
+        F.when(changed, F.greatest(F.col("change.floor"), base + F.col("change.shift")))
         .otherwise(F.col("old.retry_count"))
         .cast("int")
     )

@@ -12,6 +12,7 @@ from tidegate import schemas as S
 from tidegate.operators import gates
 from tidegate.operators.aggregates import count_by
 from tidegate.operators.fx import fx_coverage
+from tidegate.plans import publish
 from tidegate.plans.loads import load_clients, load_transfers
 from tidegate.plans.mart import build_mart
 from tidegate.plans.runs import (
@@ -26,9 +27,9 @@ from tidegate.plans.runs import (
     unexpected,
 )
 from tidegate.plans.spool import build_spool, report_candidates
-from tidegate.sources import outbound
+from tidegate.sources import outbound, versions
 from tidegate.sources.local import local_rows
-from tidegate.sources.tables import overwrite_date, read_table
+from tidegate.sources.tables import read_table
 
 # Public error numbers.
 MART_BAD_RUN_MODE, MART_UPSTREAM, MART_NO_ROWS, MART_NO_RATES, MART_MISMATCH = (
@@ -53,8 +54,8 @@ def _start(spark, warehouse, process, dates, run_mode, code, message, clock, rea
     return recorder
 
 
-def _open_dates(spark, warehouse, required, statuses):
-    control = read_control(spark, warehouse)
+def _open_dates(spark, warehouse, dates, required, statuses):
+    control = on_dates(read_control(spark, warehouse), dates)
     return {
         row.business_date
         for row in gates.gate(control, required, statuses).filter("is_open = 1").collect()
@@ -76,7 +77,7 @@ def run_mart(
     done: list[Outcome] = []
     try:
         is_open = _open_dates(
-            spark, warehouse, (S.LOAD_CLIENTS, S.LOAD_TRANSFERS), ("DONE", "WARNING")
+            spark, warehouse, dates, (S.LOAD_CLIENTS, S.LOAD_TRANSFERS), ("DONE", "WARNING")
         )
         for date in [d for d in dates if d not in is_open]:
             done.append(
@@ -97,24 +98,17 @@ def run_mart(
 
 
 def _mart_of(spark, warehouse, dates):
+    """The mart is written once, as a version; counts come from what was written, and good dates are switched."""
     process = S.BUILD_MART
-    transfers = on_dates(
-        read_table(spark, warehouse.core(S.TRANSFERS), S.core_schema(S.TRANSFERS)), dates
-    )
-    clients = on_dates(
-        read_table(spark, warehouse.core(S.CLIENTS), S.core_schema(S.CLIENTS)), dates
-    )
-    fx = on_dates(read_table(spark, warehouse.fx, S.FX_SCHEMA), dates)
-    mart = build_mart(transfers, clients, fx)
+    transfers = read_table(spark, warehouse.core(S.TRANSFERS), S.core_schema(S.TRANSFERS), dates)
+    clients = read_table(spark, warehouse.core(S.CLIENTS), S.core_schema(S.CLIENTS), dates)
+    fx = read_table(spark, warehouse.fx, S.FX_SCHEMA, dates)
 
     sources = per_date(count_by(transfers, ["business_date"]))
     rates = per_date(fx_coverage(transfers, fx))
-    # Only key columns are read for this: nothing else feeds the count.
-    built = per_date(count_by(mart, ["business_date"]))
-    outcomes, good = [], []
+    outcomes, todo = [], []
     for date in dates:
         expected = sources[date].row_count if date in sources else 0
-        actual = built[date].row_count if date in built else 0
         if not expected:
             outcomes.append(
                 failed(
@@ -131,25 +125,32 @@ def _mart_of(spark, warehouse, dates):
                     expected_row_count=expected,
                 )
             )
-        elif actual != expected:
+        else:
+            todo.append(date)
+    if not todo:
+        return outcomes
+    mart = build_mart(*(on_dates(df, todo) for df in (transfers, clients, fx)))
+    version = versions.new_version()
+    written, problems = publish.write(spark, publish.part(warehouse.mart, mart, len(todo) > 1), version)
+    built = per_date(count_by(written, ["business_date"]))
+    good = {}
+    for date in todo:
+        expected = sources[date].row_count
+        actual = built[date].row_count if date in built else 0
+        counts = {"expected_row_count": expected, "core_row_count": actual}
+        if actual != expected:
             outcomes.append(
                 failed(
                     process, date, "MART_ROW_COUNT_MISMATCH", MART_MISMATCH,
-                    "The mart would not have one row per transfer.",
-                    expected_row_count=expected, core_row_count=actual,
+                    "The mart would not have one row per transfer.", **counts,
                 )
             )
+        elif date in problems:
+            outcomes.append(failed(process, date, "UNEXPECTED_ERROR", None, problems[date], **counts))
         else:
-            good.append(date)
-            outcomes.append(
-                Outcome(
-                    process, date, "DONE", "MART_BUILD_DONE",
-                    "Mart built.",
-                    expected_row_count=expected, core_row_count=actual,
-                )
-            )
-    if good:
-        overwrite_date(on_dates(mart, good), warehouse.mart, rebalance=len(good) > 1)
+            good[date] = {warehouse.mart.rsplit("/", 1)[1]: actual}
+            outcomes.append(Outcome(process, date, "DONE", "MART_BUILD_DONE", "Mart built.", **counts))
+    publish.switch(spark, warehouse.root, "mart", version, good)
     return outcomes
 
 
@@ -179,7 +180,7 @@ def run_spool(
     done: list[Outcome] = []
     try:
         is_open = _open_dates(
-            spark, warehouse, (S.LOAD_CLIENTS, S.LOAD_TRANSFERS, S.BUILD_MART), ("DONE",)
+            spark, warehouse, dates, (S.LOAD_CLIENTS, S.LOAD_TRANSFERS, S.BUILD_MART), ("DONE",)
         )
         for date in [d for d in dates if d not in is_open]:
             done.append(
@@ -205,52 +206,49 @@ def run_spool(
 
 
 def _spool_of(spark, warehouse, dates, run_ts):
+    """The report is written once, as a version; counts come from what was written, and good dates are switched."""
     process = S.BUILD_SPOOL
-    mart = on_dates(read_table(spark, warehouse.mart, mart_schema(spark)), dates)
-    clients = on_dates(
-        read_table(spark, warehouse.core(S.CLIENTS), S.core_schema(S.CLIENTS)), dates
-    )
+    mart = read_table(spark, warehouse.mart, mart_schema(spark), dates)
+    clients = read_table(spark, warehouse.core(S.CLIENTS), S.core_schema(S.CLIENTS), dates)
     spool = build_spool(mart, clients, run_ts)
+    version = versions.new_version()
+    written, problems = publish.write(spark, publish.part(warehouse.spool, spool, len(dates) > 1), version)
     candidates = per_date(count_by(report_candidates(mart), ["business_date"]))
-    built = per_date(count_by(spool, ["business_date"]))
-    outcomes, good = [], []
+    built = per_date(count_by(written, ["business_date"]))
+    outcomes, good = [], {}
     for date in dates:
         expected = candidates[date].row_count if date in candidates else 0
         actual = built[date].row_count if date in built else 0
+        counts = {"expected_row_count": expected, "core_row_count": actual}
         if actual != expected:
             outcomes.append(
                 failed(
                     process, date, "SPOOL_ROW_COUNT_MISMATCH", SPOOL_MISMATCH,
-                    "The report would not have one row per transfer up for review.",
-                    expected_row_count=expected, core_row_count=actual,
+                    "The report would not have one row per transfer up for review.", **counts,
                 )
             )
+        elif date in problems:
+            outcomes.append(failed(process, date, "UNEXPECTED_ERROR", None, problems[date], **counts))
         else:
-            good.append((date, expected))
+            good[date] = expected
     if not good:
         return outcomes
-    empty = [d for d, n in good if not n]
-    overwrite_date(
-        on_dates(spool, [d for d, _ in good]), warehouse.spool, empty, rebalance=len(good) > 1
-    )
-    stored = read_table(spark, warehouse.spool, spool.schema)
-    written = outbound.publish(stored, warehouse.outbound, dict(good))
-    for date, count in good:
-        if written[date] != count:
+    name = warehouse.spool.rsplit("/", 1)[1]
+    publish.switch(spark, warehouse.root, "spool", version, {d: {name: n} for d, n in good.items()})
+    stored = read_table(spark, warehouse.spool, spool.schema, sorted(good))
+    exported = outbound.publish(stored, warehouse.outbound, good)
+    for date, count in good.items():
+        counts = {"expected_row_count": count, "core_row_count": count}
+        if exported[date] != count:
             outcomes.append(
                 failed(
                     process, date, "UNEXPECTED_ERROR", SPOOL_EXPORT,
-                    "The exported file does not hold every report row.",
-                    expected_row_count=count, core_row_count=count,
+                    "The exported file does not hold every report row.", **counts,
                 )
             )
         else:
             outcomes.append(
-                Outcome(
-                    process, date, "DONE", "SPOOL_BUILD_DONE",
-                    "Report built and exported.",
-                    expected_row_count=count, core_row_count=count,
-                )
+                Outcome(process, date, "DONE", "SPOOL_BUILD_DONE", "Report built and exported.", **counts)
             )
     return outcomes
 

@@ -37,10 +37,11 @@ from tidegate.plans.runs import (
     unexpected,
 )
 from tidegate.schemas import Dataset
-from tidegate.sources import files, inbound, reference
+from tidegate.plans import publish
+from tidegate.sources import files, inbound, reference, versions
 from tidegate.sources.files import work_folder
 from tidegate.sources.local import local_rows
-from tidegate.sources.tables import overwrite_date, read_table
+from tidegate.sources.tables import read_table
 
 # Last two digits of the public error numbers.
 NO_READY_FILE, EMPTY_READY_FILE, BAD_READY_FILE, UNREADABLE_READY_FILE = 10, 11, 12, 13
@@ -206,7 +207,8 @@ def _read_promised(spark, warehouse, dataset, dates):
 def _judge_files(spark, warehouse, dataset, dates, ref_currency, ref_country, work):
     """Judged rows with line numbers, from a work table written in one pass over the files."""
     paths = [inbound.snapshot_path(warehouse.inbound, dataset, d) for d in dates]
-    raw = inbound.parse_lines(inbound.read_lines(spark, paths), dataset)
+    lines = inbound.read_lines(spark, paths).withColumn("is_malformed", ~inbound.well_formed("value"))
+    raw = inbound.parse_lines(lines, dataset)
     raw = raw.withColumn("is_unreadable", unreadable(dataset))
     judged = (
         judge_transfers(raw, ref_currency, ref_country)
@@ -235,6 +237,7 @@ def _load_files(spark, warehouse, dataset, expected, ref_currency, ref_country,
     rows = judged.groupBy("business_date").agg(
         F.count("*").alias("total"),
         F.count_if(is_valid).alias("valid"),
+        F.count_if("is_malformed").alias("malformed"),
         F.count_if("is_unreadable").alias("unreadable"),
         F.count_if(too_wide(dataset)).alias("too_wide"),
         F.count_if(is_valid & (F.col(key.parsed) != F.round(key.parsed, 0))).alias("rounded_keys"),
@@ -254,6 +257,7 @@ def _load_files(spark, warehouse, dataset, expected, ref_currency, ref_country,
             (
                 F.coalesce("total", zero) - F.coalesce("valid", zero) + F.coalesce("repeated", zero)
             ).alias("reject_row_count"),
+            F.coalesce("malformed", zero).alias("malformed"),
             F.coalesce("unreadable", zero).alias("unreadable"),
             F.coalesce("too_wide", zero).alias("too_wide"),
             F.coalesce("rounded_keys", zero).alias("rounded_keys"),
@@ -283,7 +287,9 @@ def _load_files(spark, warehouse, dataset, expected, ref_currency, ref_country,
 
     for date in dates:
         row = counted[date]
-        if row.unreadable:
+        if row.malformed:
+            fail(row, "UNEXPECTED_ERROR", None, f"{row.malformed} line(s) hold a quoted field that does not end.")
+        elif row.unreadable:
             fail(row, "UNEXPECTED_ERROR", None, f"{row.unreadable} line(s) hold a value too long to read.")
         elif row.too_wide:
             fail(row, "UNEXPECTED_ERROR", None, f"{row.too_wide} row(s) hold a number too large to store.")
@@ -304,8 +310,10 @@ def _load_files(spark, warehouse, dataset, expected, ref_currency, ref_country,
         fail(counted[date], reason, code, message)
         good.remove(date)
 
-    if good:
-        _publish(spark, warehouse, dataset, split, good, counted)
+    problems = _publish(spark, warehouse, dataset, split, good, counted) if good else {}
+    for date, message in problems.items():
+        fail(counted[date], "UNEXPECTED_ERROR", None, message)
+        good.remove(date)
     for date in good:
         row = counted[date]
         message = (
@@ -337,14 +345,14 @@ def _broken_links(spark, warehouse, dataset, stage, dates, rounded):
                 "UNEXPECTED_ERROR", None, f"{dataset.key} repeats after rounding.",
             )
     if dataset is S.TRANSFERS:
-        clients = on_dates(_core(spark, warehouse, S.CLIENTS), dates)
+        clients = _core(spark, warehouse, S.CLIENTS, dates)
         for row in gates.missing_clients(stage, clients).collect():
             problems[row.business_date] = (
                 "MISSING_CLIENT_SNAPSHOT", NO_CLIENT,
                 f"{row.missing_rows} accepted transfer(s) have no client of their date.",
             )
     else:
-        transfers = on_dates(_core(spark, warehouse, S.TRANSFERS), dates)
+        transfers = _core(spark, warehouse, S.TRANSFERS, dates)
         orphaned = check_fk(transfers, stage, ["business_date", "client_id"])
         for row in orphaned.groupBy("business_date").agg(F.sum("row_count").alias("n")).collect():
             problems[row.business_date] = (
@@ -353,19 +361,34 @@ def _broken_links(spark, warehouse, dataset, stage, dates, rounded):
     return problems
 
 
-def _core(spark, warehouse, dataset):
-    return read_table(spark, warehouse.core(dataset), S.core_schema(dataset))
+def _core(spark, warehouse, dataset, dates):
+    return read_table(spark, warehouse.core(dataset), S.core_schema(dataset), dates)
 
 
 def _publish(spark, warehouse, dataset, split, dates, counted):
-    empty_stage = [d for d in dates if not counted[d].stage_row_count]
-    empty_reject = [d for d in dates if not counted[d].reject_row_count]
-    overwrite_date(on_dates(split.reject, dates), warehouse.reject(dataset), empty_reject)
-    overwrite_date(on_dates(split.stage, dates), warehouse.stage(dataset), empty_stage)
-    stage = on_dates(
-        read_table(spark, warehouse.stage(dataset), S.stage_schema(dataset)), dates
+    """Write the dates' tables as one version and switch those that pass the audit; date -> problem of the rest."""
+    version = versions.new_version()
+    names = {k: getattr(warehouse, k)(dataset) for k in ("stage", "reject", "core")}
+    publish.write(spark, publish.part(names["reject"], on_dates(split.reject, dates)), version)
+    stage, _ = publish.write(spark, publish.part(names["stage"], on_dates(split.stage, dates)), version)
+    _, problems = publish.write(spark, publish.part(names["core"], core_rows(stage)), version)
+    base = {k: path.rsplit("/", 1)[1] for k, path in names.items()}
+    publish.switch(
+        spark,
+        warehouse.root,
+        dataset.name,
+        version,
+        {
+            d: {
+                base["stage"]: counted[d].stage_row_count,
+                base["reject"]: counted[d].reject_row_count,
+                base["core"]: counted[d].stage_row_count,
+            }
+            for d in dates
+            if d not in problems
+        },
     )
-    overwrite_date(core_rows(stage), warehouse.core(dataset), empty_stage)
+    return problems
 
 
 __all__ = ["load", "load_clients", "load_transfers"]

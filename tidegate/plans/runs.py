@@ -24,8 +24,12 @@ class Warehouse:
     tables: str
     outbound: str
 
+    @property
+    def root(self) -> str:
+        return self.tables.rstrip("/")
+
     def path(self, name: str) -> str:
-        return f"{self.tables.rstrip('/')}/{name}"
+        return f"{self.root}/{name}"
 
     def stage(self, dataset: Dataset) -> str:
         return self.path(f"stg_{dataset.name}")
@@ -149,10 +153,12 @@ class Recorder:
             self.spark, [tuple(r[f] for f in fields) for r in rows], S.RUN_EVENT_SCHEMA
         )
         dates = sorted({r["business_date"] for r in rows})
-        overwrite_date(
-            upsert_runs(on_dates(read_control(self.spark, self.warehouse), dates), events),
-            self.warehouse.control,
+        processes = sorted({r["process_name"] for r in rows})
+        # Only the rows of these processes are rewritten: others may be recording the same dates.
+        known = on_dates(read_control(self.spark, self.warehouse), dates).filter(
+            F.col("process_name").isin(processes)
         )
+        overwrite_date(upsert_runs(known, events), self.warehouse.control, within=["process_name"])
 
 
 def read_control(spark: SparkSession, warehouse: Warehouse) -> DataFrame:

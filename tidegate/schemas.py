@@ -415,7 +415,7 @@ SPOOL_CLIENT_COLUMNS = (
     "email",
 )
 
-# Constraints of the stored tables: name -> SQL condition that must not be false.
+# Constraints of the stored tables, name -> SQL condition that must not be false.
 FX_CHECKS = {
     "fx_unit_count": "unit_count > 0",
     "fx_mid_rate": "mid_rate_pln > 0",
@@ -475,3 +475,43 @@ SPOOL_NOT_NULL = tuple(
         "source_of_wealth_declared",
     )
 )
+_OPTIONAL = (
+    "aml_reason_code",
+    "aml_reason_details",
+    "report_type_candidate",
+    "fx_published_date",
+    "transfer_title",
+    "kyc_status",
+    "risk_score",
+    "relationship_purpose_code",
+    "expected_activity_level",
+    "source_of_funds_declared",
+    "source_of_wealth_declared",
+)
+MART_NOT_NULL = tuple(c for c in MART_COLUMNS if c not in _OPTIONAL)
+CLIENT_NOT_NULL = (
+    "business_date",
+    "client_id",
+    "client_type",
+    "full_name",
+    "address_line_1",
+    "city",
+    "postal_code",
+    "country_code",
+    "pep_flag",
+    "high_risk_flag",
+    "client_status",
+)
+TRANSFER_NOT_NULL = (
+    "business_date",
+    "transfer_id",
+    "client_id",
+    "source_account",
+    "target_account",
+    "amount",
+    "currency_code",
+    "transfer_ts",
+    "transfer_status",
+    "channel",
+    "country_code",
+)

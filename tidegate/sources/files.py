@@ -29,6 +29,33 @@ def listing(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     ]
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the files and folders that match."""
+    fs, target = _fs(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(target) or []]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    fs, target = _fs(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file into the place of another one, if there is one, in one step."""
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    origin, goal = hadoop.Path(source), hadoop.Path(target)
+    context = hadoop.FileContext.getFileContext(_fs(spark, target)[0].getUri(), sc._jsc.hadoopConfiguration())
+    options = sc._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    context.rename(origin, goal, options)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     if fs.exists(target):

@@ -111,6 +111,28 @@ def with_source_row_num(lines: DataFrame, offsets: DataFrame | None = None) -> D
     )
 
 
+def well_formed(line: str | Column) -> Column:
+    """Whether every field of a line is plain, or enclosed in quotes with inner quotes doubled.
+
+    A field is enclosed when it begins with a quote; its closing quote must end the field. A quote further
+    on in a plain field is a character like any other. Decided from delimiter to delimiter with one
+    state, so neither long lines nor many quotes need a stack or a second look.
+    """
+    line = F.col(line) if isinstance(line, str) else line
+    between, inside, broken = 0, 1, 2
+
+    def step(state: Column, part: Column) -> Column:
+        opens = state == between
+        rest = F.replace(F.when(opens, F.substr(part, F.lit(2))).otherwise(part), F.lit('""'), F.lit(""))
+        closes = F.endswith(rest, F.lit('"')) & (F.length(F.replace(rest, F.lit('"'), F.lit(""))) == F.length(rest) - 1)
+        enclosed = F.when(~F.contains(rest, F.lit('"')), inside).when(closes, between).otherwise(broken)
+        plain = opens & ~F.startswith(part, F.lit('"'))
+        return F.when(state == broken, broken).when(plain, between).otherwise(enclosed)
+
+    parts = F.split(F.regexp_replace(line, r"\r\z", ""), CSV_OPTIONS["sep"], -1)
+    return F.when(~F.contains(line, F.lit('"')), True).otherwise(F.aggregate(parts, F.lit(between), step) == between)
+
+
 def parse_lines(lines: DataFrame, dataset: Dataset) -> DataFrame:
     """Split lines into raw text fields; missing trailing fields are NULL.
 
@@ -127,10 +149,15 @@ def parse_lines(lines: DataFrame, dataset: Dataset) -> DataFrame:
 def read_raw(
     spark: SparkSession, inbound: str, dataset: Dataset, dates: Sequence[dt.date]
 ) -> DataFrame:
-    """Raw rows of one or many dated snapshots, with their line numbers."""
+    """Raw rows of one or many dated snapshots, with their line numbers.
+
+    A line with an enclosed field that does not end stops the read, as nothing behind its quote can be trusted.
+    """
     paths = [snapshot_path(inbound, dataset, d) for d in dates]
-    numbered = with_source_row_num(read_lines(spark, paths))
-    return parse_lines(numbered.filter("source_row_num > 1"), dataset)
+    numbered = with_source_row_num(read_lines(spark, paths)).filter("source_row_num > 1")
+    place = F.format_string("%s, line %d: a quoted field does not end.", "source_file_name", "source_row_num")
+    checked = F.when(well_formed("value"), F.col("value")).otherwise(F.raise_error(place))
+    return parse_lines(numbered.withColumn("value", checked), dataset)
 
 
 def read_transfers_raw(spark: SparkSession, inbound: str, *dates: dt.date) -> DataFrame:

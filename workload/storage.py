@@ -147,3 +147,38 @@ def transfers_by_country(spark, sf_dir):
     return counts.join(F.broadcast(reference.ref_country(spark)), "country_code").select(
         "country_code", "transfers", "country_name"
     )
+
+
+# --- Enclosed fields ---------------------------------------------------------
+# The title of a line takes one of nine shapes; some are not closed, or go on after the closing quote.
+
+_SHAPES = ['"open', '"shut"', '"a;b ""c"" ;"', '"shut" and more', '5" pipe', '"' * 4, '"' * 3, ""]
+_TITLES = (
+    f"CASE source_row_num % {len(_SHAPES) + 1} "
+    + " ".join(f"WHEN {k} THEN '{shape}'" for k, shape in enumerate(_SHAPES))
+    + " ELSE transfer_title_raw END"
+)
+_LINE = (
+    "concat_ws(';', coalesce(transfer_id_raw, ''), coalesce(client_id_raw, ''), "
+    f"coalesce({_TITLES}, ''), coalesce(currency_code_raw, ''))"
+)
+_FIELD = '("([^"]|"")*"|[^;"][^;]*|)'
+
+
+@query(sql(
+    f"SELECT strftime(business_date, '%Y-%m-%d') AS business_date, {_LINE} AS line, COUNT(*) AS row_count,"
+    f" NOT regexp_full_match({_LINE}, '{_FIELD}(;{_FIELD})*', 's') AS is_malformed"
+    " FROM inbound_transfers GROUP BY ALL"
+))
+def malformed_lines(spark, sf_dir):
+    """Lines with enclosed titles written to dated files and read back: those whose quotes do not end."""
+    folder = work_folder(spark, "lines")
+    raw = shapes.inbound_transfers(spark, sf_dir)
+    raw.select("source_file_name", F.expr(_LINE).alias("line")).write.partitionBy("source_file_name").option(
+        "lineSep", "\n"
+    ).text(folder)
+    lines = inbound_files.read_lines(spark, f"{folder}/*/*.txt")
+    date = F.to_date(F.regexp_extract("source_path", r"_([0-9]{8})\.csv", 1), "yyyyMMdd")
+    return lines.groupBy(date.alias("business_date"), F.col("value").alias("line")).agg(
+        F.count("*").alias("row_count"), F.first(~inbound_files.well_formed("value")).alias("is_malformed")
+    )
