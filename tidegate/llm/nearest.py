@@ -10,7 +10,7 @@ known from the query's place in its own slot, as a (x - q) is normal with deviat
 the buckets of a table in descending order of the product of these probabilities, the perturbed ones after
 its own, until their sum is such that all tables together find a neighbour at distance r with probability
 ``recall``. The rows of all visited buckets are scored exactly, in double precision, on the given vectors, and
-the tables' best are merged.
+the tables' best are merged. A query that finds fewer than ``k`` rows this way is answered from all rows.
 
 r is fitted on ``sample`` rows, the first by a hash of the id: the 0.9 quantile, over ``probed`` of them, of
 the distance to the row that stands as far up there as the last wanted one in the whole table. Slots are two such
@@ -228,16 +228,29 @@ def nearest(
     each = [
         df.select("id", "vector", F.explode("buckets").alias("bucket")) for df in (queries, entries.select("id", "vector", "buckets"))
     ]
+    shape = "query_id long, id long, score double"
     found = cells.met(
-        spark, *each, ["bucket"], ("id", "id"), (_QUERIES, _ROWS), _score(index.width, k + 1),
-        "query_id long, id long, score double",
-    )
+        spark, *each, ["bucket"], ("id", "id"), (_QUERIES, _ROWS), _score(index.width, k + 1), shape
+    )
+    best = stored(spark, _best(found, entries, k, id), "nearest")
+    # A query that its buckets do not give enough rows is answered from all of them.
+    full = best.where(F.col("rank") == F.lit(min(k, unique.count() - 1))).select(F.col("query_id").alias("id"))
+    short = stored(spark, queries.join(full, "id", "left_anti").select("id", "vector"), "short")
+    if short.isEmpty():
+        return best
+    entry = entries.select("id", "vector")
+    found = cells.met(spark, short, entry, [], ("id", "id"), (_QUERIES, _ROWS), _score(index.width, k + 1), shape)
+    kept = best.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").select(best.columns)
+    return kept.unionByName(_best(found, entries, k, id))
+
+
+def _best(found: DataFrame, entries: DataFrame, k: int, id: str) -> DataFrame:
+    """The best rows of each query, from its best entries."""
     # Tables find the same entries; of each query the best are kept before their ids are looked up.
     merged = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
     merged = merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k + 1).drop("rank")
-    best = stored(spark, merged, "nearest")
-    listed = best.join(entries.select("id", "ids"), "id").select("query_id", "score", F.explode("ids").alias(id))
+    listed = merged.join(entries.select("id", "ids"), "id").select("query_id", "score", F.explode("ids").alias(id))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), id)
     return (
         listed.where(F.col(id) != F.col("query_id"))
