@@ -1,11 +1,14 @@
 """Quality rules: counts per text, and line frequency across the documents of a host.
 
 A line is normalised to its words, A-Z lower-cased and joined by single spaces, and
-hashed. A line that stands in more than ``share`` of a host's documents (and in more
-than ``floor`` of them) is over the limit: it stays in the document with the
-smallest id and is removed from the host's others. A document is rejected when it
-fails the base rules or when what stays of it is depleted: fewer than ``min_words``
-words, or less than ``min_left`` of its words.
+hashed. A line that stands in more documents of a host than the limit is over it: it stays in the document
+with the smallest id and is removed from the host's others. The limit is ``floor`` documents and one more for each
+binary digit of the host's number of documents, so it hardly grows: a host with a third of a large
+corpus is held to about the same number as a small one. A document is rejected when it fails the base rules or
+when what stays of it is depleted: fewer than ``min_words`` words, or less than ``min_left`` of its words.
+
+``line_quality`` gives the counts and the verdict, all counts on the whole text; ``cleaned`` gives the documents
+that are kept, without the lines that are removed from them.
 
 Defined results: a null or empty text has no words and fails the base rules. A null
 host is a host of its own; a null id is a document like any other. Repeated rows
@@ -19,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,7 +134,6 @@ def line_quality(
     spark: SparkSession,
     docs: DataFrame,
     host: str = "source",
-    share: float = 0.01,
     floor: int = 10,
     min_words: int = 10,
     max_repeat_percent: int = 20,
@@ -138,7 +141,7 @@ def line_quality(
 ) -> DataFrame:
     """doc_id, row, the counts, removed lines and words, ``base_failed`` and ``kept``, per row.
 
-    ``row`` is a key of id, host and text.
+    ``row`` is a key of id, host and text, ``cut`` lists the hashes of the lines to remove.
     """
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -149,9 +152,7 @@ def line_quality(
     counted = stored(spark, source.mapInArrow(_judge, _SCHEMA), "line-counts")
 
     documents = counted.groupBy("host", "row").agg(F.first("doc_id").alias("doc_id"))
-    limit = documents.groupBy("host").agg(
-        F.greatest(F.lit(float(floor)), F.count("*") * F.lit(share)).alias("most")
-    )
+    limit = documents.groupBy("host").agg((floor + F.length(F.bin(F.count("*")))).alias("most"))
     lines = counted.select("host", "row", "doc_id", F.inline("lines"))
     # Repeated rows merge first; a common line is then counted before it is shuffled.
     common = (
@@ -170,7 +171,11 @@ def line_quality(
         .groupBy("row", "line")
         .agg(F.first("words").alias("words"))  # a repeated row's line once
         .groupBy("row")
-        .agg(F.count("*").alias("n_removed_lines"), F.sum("words").alias("n_removed_words"))
+        .agg(
+            F.count("*").alias("n_removed_lines"),
+            F.sum("words").alias("n_removed_words"),
+            F.collect_list("line").alias("cut"),  # no more than the document has lines
+        )
     )
     left = F.col("n_words") - F.col("n_removed_words")
     base = (F.col("n_words") < min_words) | (
@@ -185,3 +190,61 @@ def line_quality(
             "kept", ~F.col("base_failed") & (left >= min_words) & (left >= min_left * F.col("n_words"))
         )
     )
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts without the lines whose hashes are listed with them; each goes with the line end behind it."""
+    for whole in batches:
+        for batch in W.pieces(whole, "text"):
+            lists = batch.column("cut")
+            data, offsets = W.utf8(batch.column("text"))
+            starts, ends, first = W.spans(data, offsets)
+            doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+            keep = np.ones(len(data), bool)
+            if len(starts):
+                breaks = np.flatnonzero(data == 0x0A)
+                line = np.searchsorted(breaks, starts) + doc
+                firsts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+                owner = doc[firsts]
+                normal = W.sequence_hashes(W.hashes(data, starts, ends, W.LOWER), firsts)
+                salt = np.uint64(0x9E3779B97F4A7C15)
+                listed = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
+                gone = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+                hit = np.isin(W.mix(normal + owner.astype(np.uint64) * salt), W.mix(gone + listed.astype(np.uint64) * salt))
+                at = starts[firsts[hit]]
+                before = np.concatenate([[0], breaks + 1])[np.searchsorted(breaks, at)]
+                after = np.append(breaks + 1, len(data))[np.searchsorted(breaks, at)]
+                edge = np.zeros(len(data) + 1, np.int32)
+                np.add.at(edge, np.maximum(before, offsets[owner[hit]]), 1)
+                np.add.at(edge, np.minimum(after, offsets[owner[hit] + 1]), -1)
+                keep = np.cumsum(edge[:-1]) == 0
+            left = np.concatenate([[0], np.cumsum(keep)])[offsets]
+            text = pa.LargeStringArray.from_buffers(
+                len(offsets) - 1, pa.py_buffer(left.astype(np.int64)), pa.py_buffer(data[keep])
+            )
+            text = pc.if_else(pc.is_null(batch.column("text")), None, text.cast(pa.string()))
+            names = batch.schema.names
+            yield batch.drop_columns(["text", "cut"]).append_column("text", text).select([n for n in names if n != "cut"])
+
+
+def cleaned(spark: SparkSession, docs: DataFrame, host: str = "source", **limits) -> DataFrame:
+    """The documents that are kept, all columns, their texts without the removed lines.
+
+    A column ``n_chars`` follows the text. Repeated rows stay repeated.
+    """
+    judged = line_quality(spark, docs, host, **limits).where("kept").select("row", "cut")
+    judged = stored(spark, judged.dropDuplicates(["row"]), "kept-rows")
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    given = docs.toDF(*names)
+    at = dict(zip(docs.columns, names, strict=True))
+    key = row_key(F.col(at["doc_id"]), F.col(at[host]), F.col(at["text"]))
+    # Merged at any size: a list that can be broadcast today outgrows it with the corpus.
+    joined = given.withColumn("_key", key).join(judged.hint("merge"), F.col("_key") == F.col("row"))
+    whole = joined.where("cut IS NULL").select(*names)
+    part = joined.where("cut IS NOT NULL").select(*[c for c in names if c != at["text"]], F.col(at["text"]).alias("text"), "cut")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in part.drop("cut").schema)
+    part = part.mapInArrow(_cut, schema).withColumnRenamed("text", at["text"])
+    if "n_chars" in at:
+        size = F.char_length(at["text"]).cast(docs.schema["n_chars"].dataType)
+        part = part.withColumn(at["n_chars"], size)
+    return whole.unionByName(part).toDF(*docs.columns)

@@ -72,7 +72,7 @@ rep AS (
 norm AS (
   SELECT doc_id, source, array_to_string(lw, ' ') AS line, sum(len(lw)) AS words
   FROM real_lines GROUP BY ALL),
-host AS (SELECT source, greatest(10.0, 0.01 * count(*)) AS most FROM documents GROUP BY source),
+host AS (SELECT source, 10 + length(bin(count(*))) AS most FROM documents GROUP BY source),
 common AS (
   SELECT n.source, n.line, min(n.doc_id) AS keeper
   FROM norm n JOIN host h ON n.source IS NOT DISTINCT FROM h.source
