@@ -1,7 +1,9 @@
 """The corpus pipeline: stages over ``documents``, each written and read again.
 
 Every stage takes (spark, docs, sf_dir). All but the last return the columns of the
-documents they got; repeated rows stay repeated except where a stage says so.
+documents they got; repeated rows stay repeated except where a stage says so. An empty table gives
+an empty table of the same columns at every stage; columns beyond those used go through unread.
+Rows are matched by 64-bit keys of their id, source and text; of 10**10 rows about three pairs would share one.
 """
 
 from __future__ import annotations
@@ -15,49 +17,43 @@ from tidegate.session import prepare
 
 
 #: Names that no table has.
-_KEY, _COPIES, _COPY = (f"_tidegate_{x}_" for x in ("key", "copies", "copy"))
+_KEY, _COPIES, _COPY, _GROUP, _ID = (f"_tidegate_{x}_" for x in ("key", "copies", "copy", "group", "id"))
 
 
-def _without(docs: DataFrame, key, rejected: DataFrame) -> DataFrame:
-    """Rows whose key is not among the rejected ``row`` keys; keys are never null.
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or are depleted of lines of their own go; the rest lose their common lines.
 
-    Merged at any size: a list that can be broadcast today outgrows it with the corpus.
+    ``n_chars`` follows the text. Null, empty and wordless texts fail; very long ones are judged and cut whole. A common
+    line stays in the document with the smallest id, of equal ids in the one with the smallest row key.
     """
-    rows = rejected.select(F.col("row").alias(_KEY)).distinct()
-    return docs.join(rows.hint("merge"), key == F.col(_KEY), "left_anti")
-
-
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or are depleted of lines of their own go."""
-    judged = lines.line_quality(prepare(spark), docs)
-    key = row_key(docs["doc_id"], docs["source"], docs["text"])
-    return _without(docs, key, stored(spark, judged.where("NOT kept"), "rejected"))
+    return lines.cleaned(prepare(spark), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays, once.
+    """Of each group of linked documents the one with the smallest id stays, once; those without an id come last.
 
-    Documents without an id all stay, as nothing can be told of them.
+    Rows are told apart by a 64-bit key of all their columns, so an id may stand for several texts: each is a document
+    of its own. Equal rows are one document. Texts without words are linked with nothing and stay.
     """
-    joined = jaccard.jaccard_join(prepare(spark), docs)
-    dropped = stored(spark, joined.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL")
-    again = stored(spark, ids.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    left = docs.join(dropped.hint("merge"), "doc_id", "left_anti")
-    if again.isEmpty():
-        return left.select(*docs.columns)
-    once = left.join(again, "doc_id", "left_anti")
-    first = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(first).select(*docs.columns)
+    keyed = docs.withColumn(_KEY, row_key(*[docs[c] for c in docs.columns]))
+    joined = jaccard.jaccard_join(prepare(spark), keyed.select(F.col(_KEY).alias("doc_id"), "text"))
+    groups = joined.select(F.col("doc_id").alias(_KEY), F.col("component_id").alias(_GROUP)).dropDuplicates([_KEY])
+    ids = keyed.select(_KEY, F.col("doc_id").alias(_ID)).dropDuplicates([_KEY])
+    first = F.min(F.struct(F.col(_ID).isNull(), _ID, _KEY)).alias("first")
+    kept = groups.join(ids, _KEY).groupBy(_GROUP).agg(first).select(F.col(f"first.{_KEY}").alias(_KEY))
+    kept = stored(spark, kept, "kept-documents")
+    # Merged at any size: a list that can be broadcast today outgrows it with the corpus.
+    left = keyed.join(kept.hint("merge"), _KEY, "left_semi")
+    return left.dropDuplicates([_KEY]).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; null and empty texts hold none, very long ones are searched whole."""
     return decontam.without_leaks(prepare(spark), docs, table(spark, sf_dir, "benchmark"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every document as often as the mix takes it; one without words as often as its source's whole share says."""
     mixed = mixture.mix(prepare(spark), docs)
     copies = (
         mixed.groupBy(F.col("row").alias(_KEY)).agg(F.first("copies").alias(_COPIES)).where(F.col(_COPIES) > 0)

@@ -6,13 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from workload.registry import ORACLES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
     " benchmark labels conversations"
 ).split()
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not there")
 
@@ -33,7 +34,7 @@ def rounded(row):
     return repr(tuple(round(v, 9) if isinstance(v, float) else v for v in row))
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, duck, name):
     df = driver.queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
