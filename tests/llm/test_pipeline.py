@@ -43,6 +43,24 @@ def test_stages(spark, make, words, messy, tmp_path):
         assert slots == list(range(len(slots)))
 
 
+def test_an_id_at_several_texts(spark, make, words):
+    """Rows are told apart by all they hold; equal rows are one document."""
+    prose = lambda k: " ".join(words[k : k + 40])
+    rows = [(1, prose(0), "en", "a"), (2, prose(0), "en", "a"), (2, prose(100), "en", "a"), (2, prose(100), "en", "a")]
+    rows += [(None, prose(200), "en", "a"), (9, prose(200), "en", "a"), (None, None, "en", "a"), (3, "", "en", "a")]
+    left = corpus_pipeline.near_duplicates(spark, make(rows), "")
+    got = sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=repr)
+    assert got == sorted([(1, prose(0)), (2, prose(100)), (9, prose(200)), (None, None), (3, "")], key=repr)
+
+
+def test_common_lines_are_cut(spark, make, words):
+    own = lambda i: " ".join(f"{w}{i}" for w in words[:20])
+    line = " ".join(words[50:80])
+    left = corpus_pipeline.quality_rules(spark, make([(i, f"{own(i)}\n{line}", "en", "a") for i in range(40)]), "")
+    texts = {r["doc_id"]: r["text"] for r in left.collect()}
+    assert texts == {i: f"{own(i)}\n" + (line if i == 0 else "") for i in range(40)}
+
+
 def test_odd_rows(spark, make, messy, tmp_path):
     spark.createDataFrame([(1, "a b")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     for rows in (messy, []):
