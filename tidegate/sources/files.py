@@ -29,6 +29,12 @@ def listing(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     ]
 
 
+def make(spark: SparkSession, path: str) -> None:
+    """Create a folder."""
+    fs, target = _fs(spark, path)
+    fs.mkdirs(target)
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths of the files and folders that match."""
     fs, target = _fs(spark, pattern)
