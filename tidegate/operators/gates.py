@@ -96,6 +96,13 @@ def reconcile(stage: DataFrame, reject: DataFrame, ready: DataFrame) -> DataFram
     return reconcile_counts(result)
 
 
+def reconcile_split(counts: DataFrame, ready: DataFrame) -> DataFrame:
+    """``reconcile_counts`` on (business_date, stage_row_count, reject_row_count)."""
+    joined = ready.select("business_date", "expected_row_count").join(counts, "business_date", "left")
+    zero = {n: F.coalesce(n, F.lit(0)) for n in ("stage_row_count", "reject_row_count")}
+    return reconcile_counts(joined.withColumns(zero))
+
+
 def load_status(counts: DataFrame) -> DataFrame:
     """Final status of a load that passed all gates."""
     rejected = F.col("reject_row_count") > 0

@@ -115,6 +115,42 @@ def split_judged(
     )
 
 
+def _by_key(judged: DataFrame, dataset: Dataset, columns: list[Column]) -> DataFrame:
+    """One row per date, validity and key, with its number of rows and some columns of one of them.
+
+    Keys only tell valid rows apart; the invalid rows of a date are one.
+    """
+    key = dataset.field(dataset.key)
+    valid = F.col("reject_reason").isNull()
+    return judged.groupBy(
+        "business_date",
+        valid.alias("is_valid"),
+        F.when(valid, F.col(key.parsed)).alias("_key"),
+        F.when(valid, number_rest(key.raw)).alias("_rest"),
+    ).agg(F.count("*").alias("key_rows"), *[F.first(c).alias(f"_{i}") for i, c in enumerate(columns)])
+
+
+def split_counts(judged: DataFrame, dataset: Dataset) -> DataFrame:
+    """Per date the rows that a split would accept and reject, without the split: one pass, one row per key moves."""
+    accepted = F.col("is_valid") & (F.col("key_rows") == 1)
+    return (
+        _by_key(judged, dataset, [])
+        .groupBy("business_date")
+        .agg(
+            F.coalesce(F.sum(F.when(accepted, F.col("key_rows"))), F.lit(0)).alias("stage_row_count"),
+            F.coalesce(F.sum(F.when(~accepted, F.col("key_rows"))), F.lit(0)).alias("reject_row_count"),
+        )
+    )
+
+
+def accepted_values(judged: DataFrame, dataset: Dataset, names: list[str]) -> DataFrame:
+    """business_date and some stored columns of the accepted rows, without the split: one pass, narrow rows move."""
+    values = _by_key(judged, dataset, [typed(dataset.field(n)) for n in names])
+    return values.where(F.col("is_valid") & (F.col("key_rows") == 1)).select(
+        "business_date", *[F.col(f"_{i}").alias(n) for i, n in enumerate(names)]
+    )
+
+
 def split_transfers(raw: DataFrame, ref_currency: DataFrame, ref_country: DataFrame) -> Split:
     return split_judged(judge_transfers(raw, ref_currency, ref_country), S.TRANSFERS)
 

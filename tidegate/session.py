@@ -8,10 +8,13 @@ from pyspark.sql import SparkSession
 #: not where a later join on the same key would need one more shuffle, as between mart
 #: and report; a hot client matters more than that shuffle, which only happens when
 #: there is one.
+#: Methods above 8000 bytes are not compiled by the JVM. A stage whose generated code would have one, like
+#: the row rules, is generated operator by operator instead, in methods that are.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

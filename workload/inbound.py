@@ -261,8 +261,8 @@ _RECONCILED = """SELECT strftime(business_date, '%Y-%m-%d') AS business_date, ex
 
 @query(sql(_RECONCILED))
 def load_reconciliation(spark, sf_dir):
-    parts = split_transfers(spark, sf_dir)
-    return gates.reconcile(parts.stage, parts.reject, promised_counts(spark, sf_dir))
+    counts = split.split_counts(judged_transfers(spark, sf_dir), S.TRANSFERS)
+    return gates.reconcile_split(counts, promised_counts(spark, sf_dir))
 
 
 @query(sql(
@@ -272,9 +272,7 @@ def load_reconciliation(spark, sf_dir):
     " FROM t_counts"
 ))
 def load_outcomes(spark, sf_dir):
-    parts = split_transfers(spark, sf_dir)
-    counts = A.gate_counts({"stage_row_count": parts.stage, "reject_row_count": parts.reject})
-    return gates.load_status(counts)
+    return gates.load_status(split.split_counts(judged_transfers(spark, sf_dir), S.TRANSFERS))
 
 
 _MISSING = """SELECT strftime(t.business_date, '%Y-%m-%d') AS business_date, COUNT(*) AS missing_rows
@@ -284,8 +282,9 @@ _MISSING = """SELECT strftime(t.business_date, '%Y-%m-%d') AS business_date, COU
 
 @query(sql(_MISSING))
 def missing_client_gate(spark, sf_dir):
-    clients = split.core_rows(split_clients(spark, sf_dir).stage)
-    return gates.missing_clients(split_transfers(spark, sf_dir).stage, clients)
+    clients = split.accepted_values(judged_clients(spark, sf_dir), S.CLIENTS, ["client_id"])
+    transfers = split.accepted_values(judged_transfers(spark, sf_dir), S.TRANSFERS, ["client_id"])
+    return gates.missing_clients(transfers, clients)
 
 
 @query(sql(
@@ -294,9 +293,12 @@ def missing_client_gate(spark, sf_dir):
     " AND c.client_id = t.client_id)"
 ))
 def orphan_transfers(spark, sf_dir):
+    names = ["transfer_id", "client_id"]
     return joins.orphans(
-        split_transfers(spark, sf_dir).stage, split_clients(spark, sf_dir).stage, ["business_date", "client_id"]
-    ).select("business_date", "transfer_id", "client_id")
+        split.accepted_values(judged_transfers(spark, sf_dir), S.TRANSFERS, names),
+        split.accepted_values(judged_clients(spark, sf_dir), S.CLIENTS, ["client_id"]),
+        ["business_date", "client_id"],
+    ).select("business_date", *names)
 
 
 _DAY_COUNTS = """SELECT strftime(business_date, '%Y-%m-%d') AS business_date,
