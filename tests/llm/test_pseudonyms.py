@@ -147,3 +147,37 @@ def test_odd_rows(spark, make, messy):
 def test_no_python_in_the_plan(spark, make):
     plan = P.pseudonymise(make([(1, "a", "en", "s")]), "k")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def read_date(text):
+    """The day that a written date means: year first, or day first where that exists, or month first."""
+    a, b, c = map(int, re.split("[-/.]", text))
+    return datetime.date(a, b, c) if a > 31 else datetime.date(c, b, a) if b <= 12 else datetime.date(c, a, b)
+
+
+def test_dates_of_every_order_are_told_apart(spark):
+    """No two days share a pseudonym, whatever order they are written in; width, order and links are kept."""
+    days = [datetime.date(y, m, d) for y in range(2000, 2004) for m in range(1, 13) for d in range(1, 29)]
+    days += [datetime.date(2000, 2, 29)] + [datetime.date(2001, m, 30) for m in (1, 4, 9, 11, 12)]
+    days += [datetime.date(y, m, 31) for y in (2000, 2001) for m in (1, 3, 5, 7, 8, 10, 12)]
+    texts = []
+    for x in days:
+        texts += [f"{x:%Y-%m-%d}", f"{x.day}/{x.month}/{x.year}", f"{x:%d.%m.%Y}"]
+        if x.day > 12:
+            texts += [f"{x.month}/{x.day}/{x.year}", f"{x:%m/%d/%Y}"]
+    got = [r["text"] for r in run(spark, texts)]
+    by_day = {}
+    for before, after in zip(texts, got):
+        assert re.sub("[0-9]", "0", before) == re.sub("[0-9]", "0", after)
+        by_day.setdefault(read_date(before), set()).add(read_date(after))
+    assert len(by_day) == len(days)
+    assert all(len(x) == 1 for x in by_day.values())
+    assert len({min(x) for x in by_day.values()}) == len(days)
+
+
+def test_dates_with_times_and_spaced_phones(spark):
+    texts = ["at 2024-01-05T10:00:00Z", "call 212 555 0123 now", "2024-01-05", "212-555-0123", "2024-01-05Tx"]
+    timed, spaced, date, phone, other = [r["text"] for r in run(spark, texts)]
+    assert timed == f"at {date}T10:00:00Z" and date != "2024-01-05"
+    assert re.sub("[^0-9]", "", spaced) == re.sub("[^0-9]", "", phone) and "212 555 0123" not in spaced
+    assert other == "2024-01-05Tx"

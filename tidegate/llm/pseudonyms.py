@@ -9,8 +9,8 @@ phone    10 to 15 digits in a phone layout: the last ten are permuted
 ssn      nine digits in valid ranges; the result is in them too
 iban     valid modulo 97: the digits of the account are permuted, the check digits made anew
 ip       four octets
-date     1900-01-01 to 2099-12-31, year first or last: another date, the 29th, 30th and 31st
-         to ones that exist
+date     1900-01-01 to 2099-12-31, year first or last, a time may follow: another date whose day and month
+         are as wide and read in the same order, the 29th, 30th and 31st to ones that exist
 email    letters and digits of the name, each within its kind; the host stays
 secret   access keys and long hexadecimal strings, each character within its kind
 
@@ -40,14 +40,14 @@ _IP = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])"
 _DATE = (
     rf"(?<![0-9A-Za-z./-])(?:[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}|[0-9]{{4}}/[0-9]{{1,2}}/[0-9]{{1,2}}"
     rf"|[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}|[0-9]{{1,2}}\.[0-9]{{1,2}}\.[0-9]{{4}}|[0-9]{{1,2}}-[0-9]{{1,2}}-[0-9]{{4}})"
-    rf"(?![0-9A-Za-z]|[./-][0-9])"
+    rf"(?!(?!T[0-9]{{2}}:)[0-9A-Za-z]|[./-][0-9])"  # a time may follow
 )
 _SSN = rf"{_B}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_E}"
 _NEXT = r"[ .-]?[0-9]"  # written out below, as a pattern that looks back takes no loop
 _PHONE = (  # of 10 to 15 digits, so that a number behind it is not taken in beyond them
     r"(?<![0-9A-Za-z])(?:\+[0-9]{10,15}|\+1(?:[ .-]?[0-9]{3}){2}[ .-]?[0-9]{4}"
     r"|(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
-    r"|(?:\+?[0-9]{1,3}[ .-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
+    r"|(?:\+?[0-9]{1,3}[ .-])?[0-9]{3}(?:[.-][0-9]{3}[.-]| [0-9]{3} )[0-9]{4}"
     rf"|\+[0-9]{{1,3}}(?:[ .-]?[0-9]{{2,4}}){{2,5}}(?<=\+[0-9]{_NEXT * 9}{f"(?:{_NEXT})?" * 5})){_E}"
 )
 _IBAN_LENGTHS = {
@@ -278,36 +278,52 @@ def _date_valid(m: Column) -> Column:
 
 
 def _date(key: str, m: Column) -> Column:
-    not_february = F.array(*[F.lit(k) for k in (1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12)])
-    long_months = F.array(*[F.lit(k) for k in (1, 3, 5, 7, 8, 10, 12)])
+    """Another date of the same kind.
+
+    Months 1 to 9 and 10 to 12, and days 1 to 9, 10 to 12 and 13 to 28 stay among themselves, so a date keeps its
+    width and is read in the same order as before; the 29th, 30th and 31st move to months that have them.
+    """
+
+    def months(*numbers: int) -> tuple[Column, int]:
+        return F.array(*[F.lit(k) for k in numbers]), len(numbers)
 
     def permute(p: Column) -> Column:
         year, month, day = p["year"] - 1900, p["month"], p["day"]
-        leap_day = (month == 2) & (day == 29)
-        leap = F.floor(year / 4) - 1  # 1904 is 0, 2096 is 48
+        early = month <= 9
+        first_month, n_months = F.when(early, 1).otherwise(10), F.when(early, 9).otherwise(3)
+        first_day = F.when(day <= 9, 1).when(day <= 12, 10).otherwise(13)
+        n_days = F.when(day <= 9, 9).when(day <= 12, 3).otherwise(16)
+        place = (month - first_month) * n_days + day - first_day
         plain = let(
-            feistel(key, "date", year, (month - 1) * 28 + day - 1, F.lit(200), F.lit(336)),
-            lambda h: F.struct(h["a"] + 1900, F.floor(h["b"] / 28) + 1, h["b"] % 28 + 1),
+            feistel(key, "date", year, place, F.lit(200), n_months * n_days),
+            lambda h: F.struct(
+                h["a"] + 1900,
+                F.floor(h["b"] / n_days) + first_month,
+                h["b"] % n_days + first_day,
+            ),
         )
+        leap = F.floor(year / 4) - 1  # 1904 is 0, 2096 is 48
         leaps = let(
             feistel(key, "date29", F.floor(leap / 7), leap % 7, F.lit(7), F.lit(7)),
             lambda h: F.struct(1904 + 4 * (h["a"] * 7 + h["b"]), F.lit(2).cast("long"), F.lit(29).cast("long")),
         )
 
-        def listed(months: Column, name: str, size: int) -> Column:
-            place = F.array_position(months, month) - 1
+        def listed(of: tuple[Column, int], name: str) -> Column:
+            place = F.array_position(of[0], month) - 1
             return let(
-                feistel(key, name, year, place, F.lit(200), F.lit(size)),
+                feistel(key, name, year, place, F.lit(200), F.lit(of[1])),
                 lambda h: F.struct(
-                    h["a"] + 1900, F.element_at(months, (h["b"] + 1).cast("int")).cast("long"), day.cast("long")
+                    h["a"] + 1900, F.element_at(of[0], (h["b"] + 1).cast("int")).cast("long"), day.cast("long")
                 ),
             )
 
         chosen = (
             F.when(day <= 28, plain)
-            .when(leap_day, leaps)
-            .when(day == 31, listed(long_months, "date31", 7))
-            .otherwise(listed(not_february, "date30", 11))
+            .when((month == 2) & (day == 29), leaps)
+            .when((day == 31) & early, listed(months(1, 3, 5, 7, 8), "date31"))
+            .when(day == 31, listed(months(10, 12), "date31"))
+            .when(early, listed(months(1, 3, 4, 5, 6, 7, 8, 9), "date30"))
+            .otherwise(listed(months(10, 11, 12), "date30"))
         )
 
         def write(c: Column) -> Column:
