@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -11,9 +12,11 @@ from tidegate import schemas as S
 from tidegate.operators.checks import Constraints, audit
 from tidegate.operators.control import KEYS, net_events, upsert_runs
 from tidegate.plans import publish, runs
+from tidegate.plans.builds import mart_schema, run_mart
 from tidegate.plans.runs import Outcome, Recorder, Warehouse, read_control
 from tidegate.sources import inbound, versions
-from tidegate.sources.tables import read_table
+from tidegate.sources.reference import fx_rates
+from tidegate.sources.tables import overwrite_date, read_table
 
 DAYS = [dt.date(2026, 3, d) for d in (1, 2, 3)]
 SCHEMA = "business_date date, id long, amount long"
@@ -186,3 +189,38 @@ def test_reading_stops_at_an_open_quote(spark, tmp_path):
         f.write('2;2;a;b;3;EUR;t;s;c;PL;"open\n')
     with pytest.raises(PySparkException, match="line 3: a quoted field"):
         inbound.read_transfers_raw(spark, str(tmp_path), DAYS[0]).collect()
+
+
+# --- One date cannot stop the others ------------------------------------------
+
+
+def test_a_poisoned_date_fails_alone(spark, tmp_path):
+    """An amount that no longer fits in EUR on one of ten dates: that date fails its audit, nine are built."""
+    w = Warehouse(*[str(tmp_path / x) for x in "ito"])
+    days = [dt.date(2026, 5, d) for d in range(1, 11)]
+    bad = days[4]
+    text = lambda schema, **given: tuple(given.get(f.name, "X" if f.dataType.typeName() == "string" else None) for f in schema)
+    ts, cs = S.core_schema(S.TRANSFERS), S.core_schema(S.CLIENTS)
+    transfers = [
+        text(ts, business_date=d, transfer_id=i, client_id=1, amount=Decimal("999999999999.99" if d == bad else "12.34"),
+             currency_code="USD", transfer_ts=dt.datetime(2026, 5, 1), country_code="PL")
+        for d in days for i in (1, 2)
+    ]
+    clients = [text(cs, business_date=d, client_id=1, country_code="PL", pep_flag=0, high_risk_flag=0, risk_score=5) for d in days]
+    for table, group, rows_, schema in (
+        (w.core(S.TRANSFERS), S.TRANSFERS.name, transfers, ts),
+        (w.core(S.CLIENTS), S.CLIENTS.name, clients, cs),
+    ):
+        version = versions.new_version()
+        versions.write_version(spark.createDataFrame(rows_, schema), table, version)
+        versions.switch(spark, w.root, group, version, {d: {table.rsplit("/", 1)[1]: 2} for d in days})
+    rates = [(d, code, 1, Decimal("9999999999") if d == bad and code == "USD" else Decimal("4")) for d in days for code in ("EUR", "USD")]
+    overwrite_date(fx_rates(spark, rates), w.fx)
+    Recorder(spark, w, "MANUAL", dt.datetime(2026, 5, 1), False).record(
+        Outcome(p, d, "DONE") for d in days for p in (S.LOAD_CLIENTS, S.LOAD_TRANSFERS)
+    )
+    done = {o.business_date: o for o in run_mart(spark, w, days)}
+    assert {d: o.status for d, o in done.items()} == {d: "FAILED" if d == bad else "DONE" for d in days}
+    assert "amount_eur_not_null: 2" in done[bad].message
+    mart = read_table(spark, w.mart, mart_schema(spark))
+    assert {(r.business_date, str(r.amount_eur)) for r in mart.collect()} == {(d, "12.34") for d in days if d != bad}

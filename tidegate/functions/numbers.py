@@ -124,11 +124,19 @@ def ratio_half_up(numerator: Column, denominator: Column, scale: int) -> Column:
     in units of the last place, is the rounded result. Decimal division in Spark
     keeps only six places for operands this wide, and rounding such a quotient
     again is wrong about once in 20,000 values; whole-number division is not.
+
+    NULL where the quotient does not fit 18 digits or a step does not fit 38, or by 0: one such row must not
+    stop the dates of all others.
     """
     two = F.lit(2).cast("decimal(1,0)")
-    units = F.call_function("div", numerator * two + denominator, denominator * two)
+    doubled = F.try_add(F.try_multiply(numerator, two), denominator)
+    fits = numerator.cast("double") < denominator.cast("double") * F.lit(9e17)
+    units = F.when(
+        fits & (denominator != 0) & doubled.isNotNull(),
+        F.call_function("div", doubled, F.try_multiply(denominator, two)),
+    )
     unit = F.lit(f"{10 ** -scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")
-    return units.cast("decimal(18,0)") * unit
+    return units.try_cast("decimal(18,0)") * unit
 
 
 def fmt_amount(c: ColumnOrName, scale: int = 2) -> Column:

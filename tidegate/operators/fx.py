@@ -64,17 +64,17 @@ def fx_rate_to_eur(base: str = S.BASE_CURRENCY) -> Column:
     return (
         F.when(F.col("currency_code") == base, F.lit(1))
         .otherwise(ratio_half_up(rate_up() * scale, rate_down(), 8))
-        .cast("decimal(18,8)")
+        .try_cast("decimal(18,8)")
     )
 
 
 def amount_eur(base: str = S.BASE_CURRENCY) -> Column:
-    """The amount at the unrounded rate, rounded half-up to cents, exactly."""
+    """The amount at the unrounded rate, rounded half-up to cents, exactly; NULL if it does not fit."""
     cents = _whole(F.col("amount"), 14, 2)
     return (
         F.when(F.col("currency_code") == base, F.col("amount").cast("decimal(18,2)"))
-        .otherwise(ratio_half_up(cents * F.col("rate_up"), F.col("rate_down"), 2))
-        .cast("decimal(18,2)")
+        .otherwise(ratio_half_up(F.try_multiply(cents, F.col("rate_up")), F.col("rate_down"), 2))
+        .try_cast("decimal(18,2)")
     )
 
 
