@@ -97,3 +97,22 @@ def test_odd_rows(spark, make, messy):
 
 def test_empty_table(spark, make):
     assert jaccard_join(spark, make([])).collect() == []
+
+
+def test_equal_codes_of_one_set_are_counted_apart():
+    """Shingles of a set that agree in their four bytes count each, however often the set arrives."""
+    import pyarrow as pa
+
+    from tidegate.llm.jaccard import _shared
+
+    sets = {1: [7, 7, 9, 11], 2: [7, 9], 3: [5, 5]}
+    arrivals = [1, 2, 1, 3]  # the first set from two tasks
+    table = pa.table({
+        "codes": [np.array([c for n in arrivals for c in sets[n]], np.uint32).tobytes()],
+        "nodes": [np.array(arrivals, np.int64).tobytes()],
+        "counts": [np.array([len(sets[n]) for n in arrivals], np.int32).tobytes()],
+    })
+    out = _shared(1)(table)
+    nodes = np.frombuffer(out.column("nodes")[0].as_py(), np.int64)
+    shared = np.frombuffer(out.column("shared")[0].as_py(), np.int32)
+    assert dict(zip(nodes.tolist(), shared.tolist())) == {1: 3, 2: 2}

@@ -133,9 +133,11 @@ def _shared(buckets: int):
         start = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
         length = np.diff(np.append(start, len(codes)))
         several = np.minimum.reduceat(owner, start) != np.maximum.reduceat(owner, start)
-        # A class that came twice, from two tasks, has each shingle twice; it counts once.
-        counted = np.unique(np.repeat(start, length)[np.repeat(several, length)] * len(names) + owner[np.repeat(several, length)])
-        shared = np.bincount(counted % len(names), minlength=len(names)).astype(np.int32)
+        # A class that came several times, from several tasks, has all its entries as often. Two shingles of one set
+        # with equal codes are two entries, so none is lost.
+        arrivals = np.maximum(np.bincount(each, minlength=len(names)), 1)
+        found = np.bincount(owner[np.repeat(several, length)], minlength=len(names))
+        shared = (found // arrivals).astype(np.int32)
         some = shared > 0
         bucket = (names[some].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
         if not len(bucket):
