@@ -89,7 +89,7 @@ def sketched_years(spark, sf_dir):
     """Years merged from stored sketches of their quarters, held against exact counts within three standard errors."""
     rows = shapes.curated_transfers(spark, sf_dir).select("business_date", "client_id", "transfer_id", "amount")
     days = stored(spark, sketches.day_sketches(rows, ["client_id", "transfer_id"], ["amount"]), "sketches")
-    year = F.year("business_date").alias("year")
+    year = F.year("business_date").cast("long").alias("year")
     found = sketches.merged(days, [year], ["client_id", "transfer_id"], ["amount"], (0.5, 0.95))
     exact = rows.withColumn("year", year).join(F.broadcast(found.select("year", "amount_q50", "amount_q95")), "year")
     exact = exact.groupBy("year").agg(
