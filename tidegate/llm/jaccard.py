@@ -46,6 +46,8 @@ from tidegate.llm.work import stored
 #: A frequent shingle is one that stands in this many sets of a window of so many shingles.
 _OFTEN = 3
 _WINDOW = 2_000_000
+#: Rows of a product that are judged at a time.
+_STRIP = 256
 
 
 def _print(grams: np.ndarray) -> tuple[int, int]:
@@ -331,14 +333,19 @@ def _link(percent: int):
         label = np.arange(len(sets))
         links = np.zeros(len(sets), np.int64)
         if len(sets) > 1:
-            both = overlaps(sets).astype(np.int64)
-            linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+            both = overlaps(sets)
+            linked = np.empty(both.shape, bool)
+            rows = [slice(a, a + _STRIP) for a in range(0, len(sets), _STRIP)]
+            for r in rows:  # strip by strip, so that only the overlaps themselves are held whole
+                shared = both[r].astype(np.int64)
+                linked[r] = 100 * shared >= percent * (sizes[r, None] + sizes[None, :] - shared)
+            del both, shared
             np.fill_diagonal(linked, False)
             if table.column("i")[0].as_py() != table.column("j")[0].as_py():
                 linked &= part[:, None] != part[None, :]  # the others are counted where i = j
-            links = linked @ copies
+            links = np.concatenate([linked[r] @ copies for r in rows])
             while True:
-                least = np.where(linked, label[None, :], len(sets)).min(axis=1)
+                least = np.concatenate([np.where(linked[r], label[None, :], len(sets)).min(axis=1) for r in rows])
                 after = np.minimum(label, least)
                 after = after[after]
                 if (after == label).all():
