@@ -117,3 +117,12 @@ def test_missing_client_gate_joins_one_row_per_client(spark, core):
     assert plan.index("LeftOuter") < plan.index("partial_count")
     (row,) = gate.collect()
     assert row.missing_rows >= n // 3
+
+
+def test_clients_are_never_sent_through_the_driver(spark, core):
+    """Both sides are far below the broadcast threshold here, as a client table that unfolds by date seems to be."""
+    transfers, clients, fx, _ = core
+    mart = build_mart(transfers(), clients(), fx)
+    assert plan_of(mart).count("SortMergeJoin [business_date") == 1
+    spool = build_spool(mart, clients(), dt.datetime(2026, 5, 3))
+    assert plan_of(spool).count("SortMergeJoin [business_date") == 2

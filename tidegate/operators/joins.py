@@ -2,9 +2,11 @@
 
 Only code dictionaries are broadcast by hint: after filtering to the code
 format there can be at most 676 country and 17,576 currency codes, whatever the
-input. All other joins leave the choice to Spark, which broadcasts a side only
-when its measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and
-otherwise shuffles, splitting skewed partitions at run time.
+input. Client snapshots grow with the input and are wide, and before anything has run
+Spark only guesses their size: a table that compresses well, or is unfolded by date,
+looks small enough to be sent through the driver. So transfers meet them in a merge
+join, whatever the guess. All other joins leave the choice to Spark. Skewed partitions
+are split at run time.
 """
 
 from __future__ import annotations
@@ -80,7 +82,7 @@ def join_same_day_client(transfers: DataFrame, clients: DataFrame) -> DataFrame:
             "expected_activity_level",
             "source_of_funds_declared",
             "source_of_wealth_declared",
-        ),
+        ).hint("merge"),
         ["business_date", "client_id"],
     )
 
@@ -114,7 +116,7 @@ def enrich_report(mart: DataFrame, clients: DataFrame) -> DataFrame:
     Type, name and country are the client's; risk fields stay the mart's.
     """
     return mart.drop("client_type", "full_name", "country_code").join(
-        clients.select("business_date", "client_id", *S.SPOOL_CLIENT_COLUMNS),
+        clients.select("business_date", "client_id", *S.SPOOL_CLIENT_COLUMNS).hint("merge"),
         ["business_date", "client_id"],
     )
 
