@@ -14,6 +14,7 @@ from tidegate.plans.runs import on_dates
 from tidegate.plans.spool import build_spool
 from tidegate.sources import reference
 from tidegate.sources.tables import overwrite_date, read_table
+from workload import shapes
 
 DAYS = [dt.date(2026, 5, 1), dt.date(2026, 5, 2)]
 
@@ -126,3 +127,21 @@ def test_clients_are_never_sent_through_the_driver(spark, core):
     assert plan_of(mart).count("SortMergeJoin [business_date") == 1
     spool = build_spool(mart, clients(), dt.datetime(2026, 5, 3))
     assert plan_of(spool).count("SortMergeJoin [business_date") == 2
+
+
+def test_small_tables_are_dealt_to_all_tasks(spark, tmp_path):
+    """A file of one split: a snapshot per quarter and the row rules are not all made by the task that reads it."""
+    spark.range(100).selectExpr(
+        "id AS c_custkey", "concat('n', id) AS c_name", "cast(id % 25 AS int) AS c_nationkey", "'BUILDING' AS c_mktsegment"
+    ).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(10).selectExpr(
+        "id AS s_suppkey", "concat('s', id) AS s_name", "cast(id % 25 AS int) AS s_nationkey"
+    ).coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(10).selectExpr(
+        "timestamp_ntz'2001-01-05 00:00:00' + make_interval(0, 3 * cast(id % 2 AS int)) AS o_orderdate"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    curated = shapes.curated_clients(spark, str(tmp_path))
+    assert curated.count() == 200 and curated.select(F.spark_partition_id()).distinct().count() == tasks
+    raw = shapes.inbound_clients(spark, str(tmp_path))
+    assert raw.count() == 110 and raw.select(F.spark_partition_id()).distinct().count() == 2 * tasks

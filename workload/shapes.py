@@ -222,6 +222,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small table over as many tasks as a shuffle has.
+
+    Its file is one split, but what is made of its rows (judging them, a snapshot of each per
+    quarter) is far more work than reading them, and would all fall to the task that reads.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def inbound_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         INBOUND_TRANSFERS.replace("{countries}", _COUNTRIES), lineitem=table(spark, sf_dir, "lineitem")
@@ -231,8 +240,8 @@ def inbound_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inbound_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         INBOUND_CLIENTS.replace("{countries}", _COUNTRIES),
-        customer=table(spark, sf_dir, "customer"),
-        supplier=table(spark, sf_dir, "supplier"),
+        customer=spread(table(spark, sf_dir, "customer")),
+        supplier=spread(table(spark, sf_dir, "supplier")),
     )
 
 
@@ -246,7 +255,7 @@ def curated_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     quarters = f"explode((SELECT collect_set({_QUARTER}) FROM {{orders}}))"
     return spark.sql(
         CURATED_CLIENTS.replace("{countries}", _COUNTRIES).replace("{quarters}", quarters),
-        customer=table(spark, sf_dir, "customer"),
+        customer=spread(table(spark, sf_dir, "customer")),
         orders=table(spark, sf_dir, "orders"),
     )
 
