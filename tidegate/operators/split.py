@@ -75,6 +75,11 @@ def duplicate_keys(judged: DataFrame, dataset: Dataset) -> DataFrame:
     )
 
 
+def _repeated(dataset: Dataset) -> Column:
+    """The reason of a valid row whose key repeats."""
+    return F.lit(f"duplicate {dataset.key} in snapshot")
+
+
 def split_judged(
     judged: DataFrame, dataset: Dataset, duplicates: DataFrame | None = None
 ) -> Split:
@@ -96,7 +101,7 @@ def split_judged(
     # An invalid row that shares a repeated key keeps its own reason, and does not move.
     repeated = judged.filter(F.col("reject_reason").isNull()).join(duplicates, on, "left_semi")
     refused = judged.filter(F.col("reject_reason").isNotNull()).unionByName(
-        repeated.withColumn("reject_reason", F.lit(f"duplicate {dataset.key} in snapshot"))
+        repeated.withColumn("reject_reason", _repeated(dataset))
     )
     return Split(
         stage=accepted.select(
@@ -143,6 +148,28 @@ def split_counts(judged: DataFrame, dataset: Dataset) -> DataFrame:
     )
 
 
+def reason_counts(judged: DataFrame, dataset: Dataset) -> DataFrame:
+    """(business_date, reject_reason, row_count) of the rows that a split would reject, without the split.
+
+    One pass, and one narrow row per valid key or reason moves.
+    """
+    key = dataset.field(dataset.key)
+    valid = F.col("reject_reason").isNull()
+    rows = judged.groupBy(
+        "business_date",
+        "reject_reason",
+        F.when(valid, F.col(key.parsed)).alias("_key"),
+        F.when(valid, number_rest(key.raw)).alias("_rest"),
+    ).agg(F.count("*").alias("key_rows"))
+    repeated = F.when(F.col("key_rows") > 1, _repeated(dataset))
+    return (
+        rows.withColumn("reject_reason", F.coalesce("reject_reason", repeated))
+        .where(F.col("reject_reason").isNotNull())
+        .groupBy("business_date", "reject_reason")
+        .agg(F.sum("key_rows").alias("row_count"))
+    )
+
+
 def accepted_values(judged: DataFrame, dataset: Dataset, names: list[str]) -> DataFrame:
     """business_date and some stored columns of the accepted rows, without the split: one pass, narrow rows move."""
     values = _by_key(judged, dataset, [typed(dataset.field(n)) for n in names])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidegate import schemas as S
 from tidegate.operators import aggregates as A
-from tidegate.operators import checks, gates, joins
+from tidegate.operators import checks, gates, joins, split
 from tidegate.operators.control import upsert_runs
 from workload import inbound, review, shapes
 from workload.oracle import sql
@@ -167,22 +167,23 @@ def control_upsert(spark, sf_dir):
     return upsert_runs(old_control(spark, sf_dir), run_events(spark, sf_dir)).select(*_CONTROL_COLUMNS)
 
 
+def _load_rows(counts, process):
+    """Control rows of a load, from the row counts of its split."""
+    return gates.load_status(counts).select(F.lit(process).alias("process_name"), "business_date", "status")
+
+
 def load_control(spark, sf_dir):
-    """Control rows of both loads and the mart, with statuses derived from the splits."""
-    parts = []
-    for process, pair in (
-        (S.LOAD_TRANSFERS, inbound.split_transfers(spark, sf_dir)),
-        (S.LOAD_CLIENTS, inbound.split_clients(spark, sf_dir)),
-    ):
-        counts = A.gate_counts({"stage_row_count": pair.stage, "reject_row_count": pair.reject})
-        parts.append(gates.load_status(counts).withColumn("process_name", F.lit(process)))
-    loads = A.union_all(parts)
+    """Control rows of both loads and the mart, with statuses derived from the splits' counts."""
+    loads = A.union_all([
+        _load_rows(split.split_counts(inbound.judged_transfers(spark, sf_dir), S.TRANSFERS), S.LOAD_TRANSFERS),
+        _load_rows(split.split_counts(inbound.judged_clients(spark, sf_dir), S.CLIENTS), S.LOAD_CLIENTS),
+    ])
     marts = loads.filter(F.col("process_name") == S.LOAD_CLIENTS).select(
         F.lit(S.BUILD_MART).alias("process_name"),
         "business_date",
         F.when(F.day("business_date") == 19, "FAILED").otherwise("DONE").alias("status"),
     )
-    return loads.select("process_name", "business_date", "status").unionByName(marts)
+    return loads.unionByName(marts)
 
 
 _CONTROL_SQL = """SELECT 'LOAD_CLIENT_TRANSFERS' AS process_name, business_date,
@@ -223,13 +224,15 @@ def spool_gate(spark, sf_dir):
 # --- Expected against actual -------------------------------------------------
 
 
-def _layer(df, process):
-    return A.count_by(df, ["business_date"]).withColumn("process_name", F.lit(process))
+def _layer(counts, name, process):
+    return counts.select(F.lit(process).alias("process_name"), "business_date", F.col(name).alias("row_count"))
 
 
 def run_layers(spark, sf_dir):
     """Expected transfer runs with their control row and layer counts."""
-    parts = inbound.split_transfers(spark, sf_dir)
+    # A row per date, stored because three tables come from it and the rows are to be judged once.
+    judged = inbound.judged_transfers(spark, sf_dir)
+    counts = inbound.stored(spark, split.split_counts(judged, S.TRANSFERS), "counts")
     expected = inbound.promised_counts(spark, sf_dir).select(
         F.lit(S.LOAD_TRANSFERS).alias("process_name"),
         "business_date",
@@ -237,8 +240,7 @@ def run_layers(spark, sf_dir):
         F.col("expected_row_count").alias("promised_row_count"),
     )
     control = (
-        load_control(spark, sf_dir)
-        .filter(F.col("process_name") == S.LOAD_TRANSFERS)
+        _load_rows(counts, S.LOAD_TRANSFERS)
         .withColumns({"run_mode": F.lit("MANUAL"), "ctl_status": F.col("status")})
         .drop("status")
         .filter(F.day("business_date") != 19)
@@ -247,8 +249,8 @@ def run_layers(spark, sf_dir):
         expected,
         control,
         {
-            "actual_stage_rows": _layer(parts.stage, S.LOAD_TRANSFERS),
-            "actual_reject_rows": _layer(parts.reject, S.LOAD_TRANSFERS),
+            "actual_stage_rows": _layer(counts, "stage_row_count", S.LOAD_TRANSFERS),
+            "actual_reject_rows": _layer(counts, "reject_row_count", S.LOAD_TRANSFERS),
         },
     )
 
