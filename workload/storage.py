@@ -124,7 +124,7 @@ def mart_from_stored_tables(spark, sf_dir):
     """The mart from written core and rate tables, read back by date."""
     base = work_folder(spark, "stored")
     tables.overwrite_date(shapes.curated_transfers(spark, sf_dir), f"{base}/transfers")
-    tables.overwrite_date(shapes.curated_clients(spark, sf_dir), f"{base}/clients")
+    tables.overwrite_date(shapes.curated_clients(spark, sf_dir), f"{base}/clients", rebalance=True)
     reference.load_fx_rates(shapes.rates(spark), f"{base}/fx")
     mart = build_mart(
         tables.read_table(spark, f"{base}/transfers", S.core_schema(S.TRANSFERS)),
