@@ -12,8 +12,9 @@ from tidegate.operators import gates
 from tidegate.plans.mart import build_mart
 from tidegate.plans.runs import on_dates
 from tidegate.plans.spool import build_spool
-from tidegate.sources import reference
+from tidegate.sources import inbound, reference, versions
 from tidegate.sources.tables import overwrite_date, read_table
+from workload import files as delivered
 from workload import shapes
 
 DAYS = [dt.date(2026, 5, 1), dt.date(2026, 5, 2)]
@@ -145,3 +146,56 @@ def test_small_tables_are_dealt_to_all_tasks(spark, tmp_path):
     assert curated.count() == 200 and curated.select(F.spark_partition_id()).distinct().count() == tasks
     raw = shapes.inbound_clients(spark, str(tmp_path))
     assert raw.count() == 110 and raw.select(F.spark_partition_id()).distinct().count() == 2 * tasks
+
+
+def test_rates_do_not_move_the_transfers_again(spark, core):
+    """The size of the rates joined with the base rates is guessed as a product, here above the threshold."""
+    transfers, clients, fx, _ = core
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1KB")
+        plan = plan_of(build_mart(transfers(), clients(), fx))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(business_date" in plan and not re.search(r"hashpartitioning\(business_date#\d+, currency_code", plan)
+
+
+def test_numbered_lines_stay_in_their_tasks(spark, tmp_path):
+    """Lines meet the offsets of their split without a shuffle, whatever Spark guesses of the offsets."""
+    (tmp_path / "clients_20260501.csv").write_text("h\na\nb\n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        lines = inbound.with_source_row_num(inbound.read_lines(spark, f"{tmp_path}/*.csv"))
+        plan = plan_of(lines)
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert sorted((r.source_row_num, r.value) for r in lines.collect()) == [(1, "h"), (2, "a"), (3, "b")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_delivered_lines_are_made_after_the_rows_moved(spark, tmp_path):
+    """Each date's rows come to one task in order of the key while they are narrow; its first line is the header."""
+    spark.range(40).selectExpr(
+        "(39 - id) AS c_custkey", "concat('n;', id) AS c_name", "cast(id % 25 AS int) AS c_nationkey", "'BUILDING' AS c_mktsegment"
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(10).selectExpr(
+        "timestamp_ntz'2001-01-05 00:00:00' + make_interval(0, 3 * cast(id % 2 AS int)) AS o_orderdate"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    dates = [dt.date(2001, 1, 1), dt.date(2001, 4, 1)]
+    rows = shapes.curated_clients(spark, str(tmp_path), delivered._place(dates))
+    lines = delivered._lines(rows, S.CLIENTS)
+    moved = [line for line in plan_of(lines).splitlines() if "Exchange" in line]
+    assert moved and all("concat" not in line and "_raw" not in line for line in moved)
+    found = lines.withColumn("task", F.spark_partition_id()).collect()
+    for task, date in enumerate(dates):
+        header, *data = [r.line for r in found if r.task == task]
+        assert header.startswith("business_date;client_id;")
+        assert [line.split(";")[:2] for line in data] == [[str(date), str(i)] for i in range(40)]
+        assert '"n;39"' in data[0]
+
+
+def test_tables_of_neighbouring_numbers_are_compressed(spark, tmp_path):
+    rows = spark.range(1000).select("id", F.lit(DAYS[0]).alias("business_date"))
+    versions.write_version(rows, str(tmp_path / "t"), "one")
+    assert list((tmp_path / "t").rglob("*.zstd.parquet"))

@@ -83,9 +83,10 @@ def to_eur(df: DataFrame, fx: DataFrame, base: str = S.BASE_CURRENCY) -> DataFra
 
     A row without a rate of its date for its own or the base currency drops out,
     so check ``fx_coverage`` first. The two rate lookups are folded into one join
-    on the small side.
+    on the small side, a row per date and currency. It is broadcast: Spark guesses the size of
+    that join as a product, and would move all rows once more.
     """
-    rated = df.join(cross_rates(fx, base), ["business_date", "currency_code"])
+    rated = df.join(F.broadcast(cross_rates(fx, base)), ["business_date", "currency_code"])
     return rated.withColumn("amount_eur", amount_eur(base)).drop("rate_up", "rate_down")
 
 

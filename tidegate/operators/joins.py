@@ -1,8 +1,8 @@
 """Join operators.
 
-Only code dictionaries are broadcast by hint: after filtering to the code
-format there can be at most 676 country and 17,576 currency codes, whatever the
-input. Client snapshots grow with the input and are wide, and before anything has run
+Broadcast by hint are code dictionaries, as after filtering to the code format there
+can be at most 676 country and 17,576 currency codes, whatever the input; the rates that
+amounts are converted at, a row per date and currency; and the offsets of input splits. Client snapshots grow with the input and are wide, and before anything has run
 Spark only guesses their size: a table that compresses well, or is unfolded by date,
 looks small enough to be sent through the driver. So transfers meet them in a merge
 join, whatever the guess. All other joins leave the choice to Spark. Skewed partitions

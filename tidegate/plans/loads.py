@@ -222,7 +222,7 @@ def _judge_files(spark, warehouse, dataset, dates, ref_currency, ref_country, wo
 
 def _store(df, table):
     """``df`` as a written table: computed once, safe from lost executors, of known size."""
-    df.write.parquet(table)
+    df.write.option("compression", files.CODEC).parquet(table)
     return df.sparkSession.read.schema(df.schema).parquet(table)
 
 

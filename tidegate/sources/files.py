@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: Of the tables written: many columns are made of neighbouring numbers, which the default codec hardly shortens.
+CODEC = "zstd"
+
 
 def _fs(spark: SparkSession, path: str):
     sc = spark.sparkContext

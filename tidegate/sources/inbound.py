@@ -98,12 +98,13 @@ def with_source_row_num(lines: DataFrame, offsets: DataFrame | None = None) -> D
     """Add ``source_row_num``, the physical line number: header 1, first data row 2.
 
     ``lines`` comes from ``read_lines``, possibly narrowed or written out and read
-    back. Without ``offsets`` the lines are scanned once more to count them. Spark
-    chooses the join from the size of the offsets, a row per input split.
+    back. Without ``offsets`` the lines are scanned once more to count them. The offsets
+    are a row per input split and are broadcast: a shuffle would move all lines, those of
+    a split to one task.
     """
     offsets = split_offsets(lines) if offsets is None else offsets
     return (
-        lines.join(offsets, ["source_path", "split_start"])
+        lines.join(F.broadcast(offsets), ["source_path", "split_start"])
         .withColumn(
             "source_row_num", F.col("lines_before") + F.col("line_id") - F.col("first_id") + 1
         )

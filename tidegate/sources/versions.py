@@ -53,7 +53,12 @@ def write_version(df: DataFrame, table: str, version: str, rebalance: bool = Fal
     a large date is still split over many tasks.
     """
     rows = df.hint("rebalance", "business_date") if rebalance else df
-    rows.write.mode("overwrite").partitionBy("business_date").parquet(version_path(table, version))
+    (
+        rows.write.mode("overwrite")
+        .option("compression", files.CODEC)
+        .partitionBy("business_date")
+        .parquet(version_path(table, version))
+    )
 
 
 def read_version(spark: SparkSession, table: str, version: str, schema: T.StructType) -> DataFrame:

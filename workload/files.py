@@ -36,34 +36,47 @@ def _quoted(c):
     return F.when(text.rlike('[;"]'), inner).otherwise(text)
 
 
-def _lines(rows, dataset, key):
-    """(file, place, line): a header and a line per row, in order of the key."""
-    name = F.concat(F.lit(f"{dataset.name}_"), F.date_format("business_date", "yyyyMMdd"), F.lit(".csv"))
+def _lines(rows, dataset, broken=None):
+    """The lines of dated files, from rows that ``_place`` put in one task per date in order of the key: a header and a line per row.
+
+    ``broken`` tells which lines end in an open quote.
+    """
     fields = [c.removesuffix("_raw") for c in dataset.raw_columns]
     values = [
         F.date_format(c, "yyyy-MM-dd HH:mm:ss") if c == "transfer_ts" else F.col(c)
         for c in fields
     ]
     line = F.concat_ws(";", *[_quoted(v) for v in values])
-    data = rows.select(name.alias("file"), F.col(key).cast("long").alias("place"), line.alias("line"), F.expr(_KIND).alias("kind"))
-    header = data.select("file").distinct().select(
-        "file", F.lit(-1).cast("long").alias("place"), F.lit(";".join(fields)).alias("line"), F.lit(-1).alias("kind")
-    )
-    return data.unionByName(header)
+    if broken is not None:
+        line = F.when(broken, F.concat(line, F.lit(' "'), F.lit('x;"open'))).otherwise(line)
+    # The low bits of the id count the rows of a task.
+    is_first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    data = rows.select(line.alias("line"), is_first.alias("is_first"))
+    header = F.lit(";".join(fields))
+    return data.select(F.explode(F.when(F.col("is_first"), F.array(header, "line")).otherwise(F.array("line"))).alias("line"))
+
+
+def _place(dates):
+    """Rows of each date in a task of its own, in order of a key."""
 
+    def place(rows, day, key):
+        at = F.array_position(F.array(*[F.lit(d) for d in dates]), F.col(day)) - 1
+        return rows.repartitionById(len(dates), at.cast("int")).sortWithinPartitions(F.col(key).cast("long"))
 
-def _deliver(spark, lines, folder, wrong_count=None, no_ready=None):
-    """One file per date, as delivered, and its ready file."""
+    return place
+
+
+def _deliver(spark, rows, dataset, key, dates, lines, folder, wrong_count=None, no_ready=None):
+    """One file per date, as delivered, and its ready file. ``lines`` are those of ``rows``, a task per date."""
     parts = work_folder(spark, "delivered")
-    ordered = lines.repartition("file").sortWithinPartitions("file", "place")
-    ordered.select("file", "line").write.partitionBy("file").option("lineSep", "\n").text(parts)
-    counts = lines.where("place >= 0").groupBy("file").agg(F.count("*").alias("n"), F.max("kind").alias("kind"))
-    for row in counts.collect():  # a row per delivered file
-        (part,) = files.matching(spark, f"{parts}/file={row.file}/part-*")
-        files.replace(spark, part, f"{folder}/{row.file}")
+    lines.write.option("lineSep", "\n").text(parts)
+    counted = rows.where(F.col(key) >= 0).groupBy("business_date").agg(F.count("*").alias("n"))
+    for row in counted.withColumn("kind", F.expr(_KIND)).collect():  # a row per delivered file
+        (part,) = files.matching(spark, f"{parts}/part-{dates.index(row.business_date):05d}-*")
+        files.replace(spark, part, inbound.snapshot_path(folder, dataset, row.business_date))
         if row.kind != no_ready:
             promised = row.n + 7 if row.kind == wrong_count else row.n
-            files.write_line(spark, f"{folder}/{row.file.replace('.csv', '.ok')}", str(promised))
+            files.write_line(spark, inbound.snapshot_path(folder, dataset, row.business_date, "ok"), str(promised))
 
 
 _done: dict[tuple[str, str], Warehouse] = {}
@@ -77,16 +90,18 @@ def warehouse(spark, sf_dir) -> Warehouse:
     base = work_folder(spark, "workflow")
     w = Warehouse(f"{base}/inbound", f"{base}/tables", f"{base}/outbound")
     files.make(spark, w.inbound)
-    transfers, clients = shapes.curated_transfers(spark, sf_dir), shapes.curated_clients(spark, sf_dir)
-    clients = clients.where(f"NOT ({_KIND} = {LOST_CLIENTS} AND {_LOST})")
-    lines = _lines(transfers, S.TRANSFERS, "transfer_id")
-    opened = F.concat("line", F.lit(' "'), F.lit('x;"open'))
-    broken = F.when((F.col("kind") == OPEN_QUOTE) & (F.col("place") % 50 == 0), opened).otherwise(F.col("line"))
-    _deliver(spark, lines.withColumn("line", broken), w.inbound, wrong_count=WRONG_COUNT)
-    _deliver(spark, _lines(clients, S.CLIENTS, "client_id"), w.inbound, no_ready=NO_READY_FILE)
+    transfers = shapes.curated_transfers(spark, sf_dir)
+    dates = [r[0] for r in transfers.select("business_date").distinct().orderBy("business_date").collect()]
+    place = _place(dates)
+    opened = (F.expr(_KIND) == OPEN_QUOTE) & (F.col("transfer_id") % 50 == 0)
+    lines = _lines(shapes.curated_transfers(spark, sf_dir, place), S.TRANSFERS, opened)
+    _deliver(spark, transfers, S.TRANSFERS, "transfer_id", dates, lines, w.inbound, wrong_count=WRONG_COUNT)
+    kept = f"NOT ({_KIND} = {LOST_CLIENTS} AND {_LOST})"
+    clients = shapes.curated_clients(spark, sf_dir).where(kept)
+    lines = _lines(shapes.curated_clients(spark, sf_dir, place).where(kept), S.CLIENTS)
+    _deliver(spark, clients, S.CLIENTS, "client_id", dates, lines, w.inbound, no_ready=NO_READY_FILE)
     rates = shapes.rates(spark).join(transfers.select("business_date").distinct(), "business_date", "left_semi")
     reference.load_fx_rates(rates.where(f"{_KIND} <> {NO_RATES}"), w.fx)
-    dates = [r[0] for r in transfers.select("business_date").distinct().orderBy("business_date").collect()]
     run_workflow(spark, w, dates, clock=lambda: dt.datetime.fromisoformat(RUN_TS))
     _done[key] = w
     return w

@@ -16,9 +16,11 @@ clean on the last two.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidegate import schemas as S
 from tidegate.sources import reference
@@ -27,6 +29,7 @@ FIRST_DAY = 13  # of April 2026
 DATES = [dt.date(2026, 4, FIRST_DAY + i) for i in range(7)]
 #: Quarters that have rates; those of the clients come from the orders.
 QUARTERS = [dt.date(y, m, 1) for y in range(1990, 2030) for m in (1, 4, 7, 10)]
+Place = Callable[[DataFrame, str, str], DataFrame]
 RATE_DAY = dt.date(2001, 7, 1)  # whose rates the days of April 2026 take
 
 INBOUND_TRANSFERS = """
@@ -245,18 +248,25 @@ def inbound_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def curated_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(
-        CURATED_TRANSFERS.replace("{countries}", _COUNTRIES), orders=table(spark, sf_dir, "orders")
-    )
+def curated_transfers(spark: SparkSession, sf_dir: str, place: Place | None = None) -> DataFrame:
+    """``place`` puts the rows in the tasks that need them before they get wide: (rows, day, key) -> rows."""
+    orders = table(spark, sf_dir, "orders")
+    if place is not None:
+        orders = place(orders.withColumn("day", F.expr(_QUARTER)), "day", "o_orderkey")
+    return spark.sql(CURATED_TRANSFERS.replace("{countries}", _COUNTRIES), orders=orders)
 
 
-def curated_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+def curated_clients(spark: SparkSession, sf_dir: str, place: Place | None = None) -> DataFrame:
+    """``place`` as for the transfers."""
+    customer, orders = spread(table(spark, sf_dir, "customer")), table(spark, sf_dir, "orders")
     quarters = f"explode((SELECT collect_set({_QUARTER}) FROM {{orders}}))"
+    if place is not None:
+        unfolded = spark.sql(f"SELECT c.*, {quarters} AS day FROM {{customer}} c", customer=customer, orders=orders)
+        customer, quarters = place(unfolded, "day", "c_custkey"), "day"
     return spark.sql(
         CURATED_CLIENTS.replace("{countries}", _COUNTRIES).replace("{quarters}", quarters),
-        customer=spread(table(spark, sf_dir, "customer")),
-        orders=table(spark, sf_dir, "orders"),
+        customer=customer,
+        orders=orders,
     )
 
 
