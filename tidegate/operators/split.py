@@ -14,6 +14,7 @@ then Spark splits a skewed key's partition by itself.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -84,39 +85,55 @@ def split_judged(
     judged: DataFrame, dataset: Dataset, duplicates: DataFrame | None = None
 ) -> Split:
     """Split judged rows; ``duplicates`` may be passed in when already computed."""
-    key, key_raw = dataset.field(dataset.key).parsed, dataset.field(dataset.key).raw
     if duplicates is None:
         duplicates = duplicate_keys(judged, dataset)
-    # Null-safe, because a plain equality would also filter the keys for NULL below the
-    # judging, where their parsers would run a second time.
+    keys, on = _repeated_keys(duplicates, dataset)
+    accepted = judged.filter(F.col("reject_reason").isNull()).join(keys, on, "left_anti")
+    return Split(
+        stage=accepted.select(
+            "business_date",
+            "source_row_num",
+            *[typed(dataset.field(n)).alias(n) for n in dataset.stage_order],
+        ),
+        reject=rejected(judged, dataset, duplicates),
+    )
+
+
+def _repeated_keys(duplicates: DataFrame, dataset: Dataset) -> tuple[DataFrame, Column]:
+    """The repeated keys, and how judged rows meet them.
+
+    Null-safe, because a plain equality would also filter the keys for NULL below the
+    judging, where their parsers would run a second time.
+    """
+    key, key_raw = dataset.field(dataset.key).parsed, dataset.field(dataset.key).raw
     on = F.col("business_date").eqNullSafe(F.col("repeated_date")) & F.col(key).eqNullSafe(
         F.col("repeated_key")
     ) & number_rest(key_raw).eqNullSafe(F.col("repeated_rest"))
-    duplicates = duplicates.select(
+    keys = duplicates.select(
         F.col("business_date").alias("repeated_date"),
         F.col(key).alias("repeated_key"),
         F.col("key_rest").alias("repeated_rest"),
     )
-    accepted = judged.filter(F.col("reject_reason").isNull()).join(duplicates, on, "left_anti")
+    return keys, on
+
+
+def rejected(judged: DataFrame, dataset: Dataset, duplicates: DataFrame | None = None) -> DataFrame:
+    """The reject side of a split alone; of the judged rows only ``reject_inputs`` are read."""
+    if duplicates is None:
+        duplicates = duplicate_keys(judged, dataset)
+    keys, on = _repeated_keys(duplicates, dataset)
     # An invalid row that shares a repeated key keeps its own reason, and does not move.
-    repeated = judged.filter(F.col("reject_reason").isNull()).join(duplicates, on, "left_semi")
+    repeated = judged.filter(F.col("reject_reason").isNull()).join(keys, on, "left_semi")
     refused = judged.filter(F.col("reject_reason").isNotNull()).unionByName(
         repeated.withColumn("reject_reason", _repeated(dataset))
     )
-    return Split(
-        stage=accepted.select(
-            "business_date",
-            "source_row_num",
-            *[typed(dataset.field(n)).alias(n) for n in dataset.stage_order],
-        ),
-        reject=refused.select(
-            "business_date",
-            "source_file_name",
-            "source_row_num",
-            *dataset.reject_columns,
-            "reject_reason",
-            F.localtimestamp().alias("rejected_at"),
-        ),
+    return refused.select(
+        "business_date",
+        "source_file_name",
+        "source_row_num",
+        *dataset.reject_columns,
+        "reject_reason",
+        F.localtimestamp().alias("rejected_at"),
     )
 
 
@@ -135,6 +152,12 @@ def _by_key(judged: DataFrame, dataset: Dataset, columns: list[Column]) -> DataF
     ).agg(F.count("*").alias("key_rows"), *[F.first(c).alias(f"_{i}") for i, c in enumerate(columns)])
 
 
+def reject_inputs(dataset: Dataset) -> list[str]:
+    """The columns of judged rows that the rejects are made of."""
+    key = dataset.field(dataset.key).parsed
+    return ["business_date", "source_file_name", "source_row_num", *dataset.raw_columns, key, "reject_reason"]
+
+
 def split_counts(judged: DataFrame, dataset: Dataset) -> DataFrame:
     """Per date the rows that a split would accept and reject, without the split: one pass, one row per key moves."""
     accepted = F.col("is_valid") & (F.col("key_rows") == 1)
@@ -170,7 +193,7 @@ def reason_counts(judged: DataFrame, dataset: Dataset) -> DataFrame:
     )
 
 
-def accepted_values(judged: DataFrame, dataset: Dataset, names: list[str]) -> DataFrame:
+def accepted_values(judged: DataFrame, dataset: Dataset, names: Sequence[str]) -> DataFrame:
     """business_date and some stored columns of the accepted rows, without the split: one pass, narrow rows move."""
     values = _by_key(judged, dataset, [typed(dataset.field(n)) for n in names])
     return values.where(F.col("is_valid") & (F.col("key_rows") == 1)).select(
