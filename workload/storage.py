@@ -81,12 +81,12 @@ def client_lines(spark, sf_dir):
 def dated_table(spark, sf_dir):
     """A table written once, then with one date replaced and one date emptied."""
     path = work_folder(spark, "dated")
-    core = split.core_rows(inbound.split_transfers(spark, sf_dir).stage)
-    tables.overwrite_date(core, path)
-    again = core.filter(F.day("business_date") == 14)
-    tables.overwrite_date(
-        again.withColumn("amount", (F.col("amount") * 2).cast("decimal(14,2)")), path, [dt.date(2026, 4, 18)]
-    )
+    judged = inbound.judged_transfers(spark, sf_dir)
+    tables.overwrite_date(split.accepted_values(judged, S.TRANSFERS, S.TRANSFERS.stage_order), path)
+    again = tables.read_table(spark, path, S.core_schema(S.TRANSFERS)).filter(F.day("business_date") == 14)
+    again = again.withColumn("amount", (F.col("amount") * 2).cast("decimal(14,2)"))
+    # Stored, as a table cannot be replaced by what is read from it.
+    tables.overwrite_date(inbound.stored(spark, again, "again"), path, [dt.date(2026, 4, 18)])
     stored = tables.read_table(spark, path, S.core_schema(S.TRANSFERS))
     return stored.groupBy("business_date").agg(
         F.count("*").alias("row_count"), F.sum("amount").alias("amount")
