@@ -199,3 +199,10 @@ def test_tables_of_neighbouring_numbers_are_compressed(spark, tmp_path):
     rows = spark.range(1000).select("id", F.lit(DAYS[0]).alias("business_date"))
     versions.write_version(rows, str(tmp_path / "t"), "one")
     assert list((tmp_path / "t").rglob("*.zstd.parquet"))
+
+
+def test_parents_of_the_client_gate_are_never_sent_through_the_driver(spark, core):
+    """The keys of stored clients seem small enough here, as they do at any size once they are well compressed."""
+    transfers, clients, _, _ = core
+    plan = plan_of(gates.missing_clients(transfers(), clients()))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

@@ -215,14 +215,14 @@ def _judge_files(spark, warehouse, dataset, dates, ref_currency, ref_country, wo
         if dataset is S.TRANSFERS
         else judge_clients(raw)
     )
-    stored = _store(judged, f"{work}/judged")
+    stored = _store(judged, f"{work}/judged", files.CODEC)
     offsets = _store(inbound.split_offsets(stored), f"{work}/offsets")
     return inbound.with_source_row_num(stored, offsets).filter("source_row_num > 1")
 
 
-def _store(df, table):
+def _store(df, table, codec="snappy"):
     """``df`` as a written table: computed once, safe from lost executors, of known size."""
-    df.write.option("compression", files.CODEC).parquet(table)
+    df.write.option("compression", codec).parquet(table)
     return df.sparkSession.read.schema(df.schema).parquet(table)
 
 
