@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__  # noqa: F401  registers all queries
+from tidegate.sources import outbound
 from workload.registry import QUERIES
 
 
@@ -30,3 +31,18 @@ def test_queries_on_the_mart_merge_clients(spark, tables, name):
     plan = QUERIES[name](spark, tables)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [business_date" in plan
     assert all("client_id" not in line for line in plan.splitlines() if "BroadcastHashJoin" in line)
+
+
+def test_report_files_merge_clients(spark, tables, monkeypatch):
+    """Neither the mart nor the report that is exported sends them through the driver."""
+    plans, publish = [], outbound.publish
+
+    def publish_seen(report, folder, stored):
+        plans.append(report._jdf.queryExecution().executedPlan().toString())
+        return publish(report, folder, stored)
+
+    monkeypatch.setattr(outbound, "publish", publish_seen)
+    assert QUERIES["report_files"](spark, tables).count() > 0
+    (plan,) = plans
+    assert plan.count("SortMergeJoin [business_date") == 2
+    assert all("client_id" not in line for line in plan.splitlines() if "BroadcastHashJoin" in line)
